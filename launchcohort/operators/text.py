@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from launchcohort.functions.scalars import sentences
+from launchcohort.functions.scalars import SPACE, sentences
 from launchcohort.functions.text import tokens
 from launchcohort.operators.lookup import lookup
 from launchcohort.session import written
@@ -187,7 +187,7 @@ def sentiment(df: DataFrame, lexicon: DataFrame, text: str = "text",
     each word and adding up needs no further shuffle.
     """
     boosters = BOOSTERS if boosters is None else boosters
-    words = F.filter(F.transform(F.split(F.col("sentence"), r"\s+"),
+    words = F.filter(F.transform(F.split(F.col("sentence"), f"[{SPACE}]+"),
                                  lambda w: F.lower(F.regexp_replace(w, f"^{EDGE}|{EDGE}$", ""))), lambda w: w != "")
     spread = df.select("id", F.col(text).alias("_text")).repartition("id")
     parts = spread.select("id", emphasis(marks(F.col("_text"), "!"), marks(F.col("_text"), "?")).alias("stress"),
