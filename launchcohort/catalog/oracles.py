@@ -311,7 +311,7 @@ forms AS (SELECT id, snapshot, launched_at, CASE id % 7 WHEN 0 THEN goal WHEN 1
         f"SELECT id, snapshot, {V.number('form')} AS number, {V.number('launched_at')} AS launched_at FROM forms"),
     "p4_goal_usd": over(_NORMAL_RAW, f"SELECT id, snapshot, {r6('goal_usd', 'goal_usd')}, {r6('usd_rate', 'usd_rate')} FROM normal"),
     "p5_null_defaults": over(_NORMAL_RAW, "SELECT id, snapshot, name, country, currency FROM normal"),
-    "p6_label": over(V.RAW, "SELECT id, snapshot, state, CASE state WHEN 'successful' THEN 1 WHEN 'failed' THEN 0 END AS y FROM raw"),
+    "p6_label": over(V.RAW, "SELECT id, snapshot, state, CASE state WHEN 'successful' THEN 1 WHEN 'failed' THEN 0 ELSE -1 END AS y FROM raw"),
     "p7_log_goal": over(STATIC, f"SELECT id, {r6('m_log_goal', 'm_log_goal')} FROM static"),
     "p8_duration_days": over(STATIC, "SELECT id, m_duration_days FROM static"),
     "p9_launch_parts": over(STATIC, "SELECT id, m_launch_month, m_launch_dow FROM static"),
@@ -347,7 +347,7 @@ FROM campaigns, (VALUES {', '.join(f'({i}, {m}::DOUBLE)' for i, m in enumerate(M
     "a2_cohort_profile": over(V.CAMPAIGNS, f"""SELECT round(avg(y), 6) AS success_rate, strftime(make_timestamp(min(launched_at) * 1000000), '%Y-%m-%d') AS launch_min,
   strftime(make_timestamp(max(launched_at) * 1000000), '%Y-%m-%d') AS launch_max, count(DISTINCT category) AS n_categories,
   count(DISTINCT parent_category) AS n_parent_categories, count(DISTINCT country) AS n_countries,
-  strftime(make_timestamp({V.FROM} * 1000000), '%Y-%m-%d') AS cohort_from, 'all' AS cohort_to, round(median(goal_usd), 6) AS goal_usd_median
+  strftime(make_timestamp({V.FROM}::BIGINT * 1000000), '%Y-%m-%d') AS cohort_from, 'all' AS cohort_to, round(median(goal_usd), 6) AS goal_usd_median
 FROM campaigns WHERE launched_at >= {V.FROM}"""),
     "a3_rate_by_parent": over(V.CAMPAIGNS, "SELECT parent_category, round(avg(y), 6) AS mean, count(*) AS size FROM campaigns GROUP BY 1 HAVING count(*) >= 50"),
     "a4_rate_by_goal_decile": DECILES,

@@ -213,7 +213,7 @@ def p5(spark, sf_dir):
 
 @query("p6_label")
 def p6(spark, sf_dir):
-    return T.campaigns_raw(spark, sf_dir).select("id", "snapshot", "state", S.label(F.col("state")).alias("y"))
+    return T.campaigns_raw(spark, sf_dir).select("id", "snapshot", "state", F.coalesce(S.label(F.col("state")), F.lit(-1)).alias("y"))
 
 
 @query("p7_log_goal")

@@ -43,6 +43,7 @@ def normalised(df: DataFrame) -> DataFrame:
     """JSON fields, numbers, currency and text defaults."""
     rate = F.coalesce(S.to_number(F.col("static_usd_rate")), F.lit(1.0))
     columns = {
+        "id": F.col("id").cast("bigint"),
         "parent_category": S.parent_of_slug(S.json_field(F.col("category"), "slug")),
         "category": S.json_field(F.col("category"), "name"),
         "location_type": S.json_field(F.col("location"), "type"),

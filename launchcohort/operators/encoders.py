@@ -44,7 +44,7 @@ def level_sums(df: DataFrame, columns: list[str] = CAT_COLS, folds: int = FOLDS)
     `df` has `fold`, `y` and `goal_usd`. All columns are summed in one pass; each task sums its
     rows per level before the only shuffle, which then carries levels and no rows.
     """
-    rows = unpivoted(df, columns, ["fold", "y", log_goal(F.col("goal_usd")).alias("log_goal")])
+    rows = unpivoted(df.withColumn("log_goal", log_goal(F.col("goal_usd"))), columns, ["fold", "y", "log_goal"])
     in_fold = [F.col("fold") == f for f in range(folds)]
     return rows.groupBy("column", "level").agg(
         F.count("*").alias("n"), F.sum("y").alias("s"), F.sum("log_goal").alias("g"),

@@ -189,13 +189,17 @@ def sentiment(df: DataFrame, lexicon: DataFrame, text: str = "text",
     boosters = BOOSTERS if boosters is None else boosters
     words = F.filter(F.transform(F.split(F.col("sentence"), f"[{SPACE}]+"),
                                  lambda w: F.lower(F.regexp_replace(w, f"^{EDGE}|{EDGE}$", ""))), lambda w: w != "")
-    spread = df.select("id", F.col(text).alias("_text")).repartition("id")
-    parts = spread.select("id", emphasis(marks(F.col("_text"), "!"), marks(F.col("_text"), "?")).alias("stress"),
-                          F.size(sentences(F.col("_text"))).alias("n_sentences"),
-                          F.posexplode(sentences(F.col("_text"))).alias("part", "sentence"))
-    placed = parts.select("id", "stress", "n_sentences", "part",
-                          emphasis(marks(F.col("sentence"), "!"), marks(F.col("sentence"), "?")).alias("part_stress"),
-                          F.posexplode(words).alias("place", "term"))
+    spread = df.select("id", F.col(text).alias("text")).repartition("id")
+    # What is said of a whole text or sentence is worked out before it is taken apart.
+    whole = spread.select("id", emphasis(marks(F.col("text"), "!"), marks(F.col("text"), "?")).alias("stress"),
+                          sentences(F.col("text")).alias("sentences"))
+    parts = whole.select("id", "stress", F.size("sentences").alias("n_sentences"),
+                         F.posexplode("sentences").alias("part", "sentence"))
+    split = parts.select("id", "stress", "n_sentences", "part",
+                         emphasis(marks(F.col("sentence"), "!"), marks(F.col("sentence"), "?")).alias("part_stress"),
+                         words.alias("words"))
+    placed = split.select("id", "stress", "n_sentences", "part", "part_stress",
+                          F.posexplode("words").alias("place", "term"))
     shifts = F.create_map(*[F.lit(v) for pair in boosters.items() for v in pair])
     known = lookup(placed, lexicon.select("term", "valence"), "term").select(
         "id", "stress", "n_sentences", "part", "part_stress", "place", "term", "valence",
