@@ -551,8 +551,7 @@ def t1(spark, sf_dir):
 
 @query("t2_vocabulary")
 def t2(spark, sf_dir):
-    docs = T.documents(spark, sf_dir)
-    return text.vocabulary(text.term_counts(docs), docs.count())
+    return text.vocabulary(T.documents(spark, sf_dir))
 
 
 @query("t3_term_counts")
@@ -581,7 +580,7 @@ def t5(spark, sf_dir):
 @query("t6_out_of_fold_naive_bayes")
 def t6(spark, sf_dir):
     folded = splits.with_fold(T.doc_labels(spark, sf_dir))
-    return text_model(spark, sf_dir).nb_probability(folded, out_of_fold=True).select("id", r6("nb_prob"))
+    return text_model(spark, sf_dir).out_of_fold_probability(folded).select("id", r6("nb_prob"))
 
 
 @query("t7_lsa")

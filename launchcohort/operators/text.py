@@ -25,10 +25,18 @@ def term_counts(df: DataFrame, text: str = "text", stop_words: tuple[str, ...] |
     return terms.groupBy("id", *keep, "term").agg(F.count("*").alias("tf"))
 
 
-def vocabulary(counts: DataFrame, n_docs: int, min_df: int = MIN_DF, max_df: float = MAX_DF) -> DataFrame:
+def document_frequency(df: DataFrame, text: str = "text", stop_words: tuple[str, ...] | None = None) -> DataFrame:
+    """(term, df): in how many texts each term is. Repeats go within the row, so only sums are shuffled."""
+    terms = df.select(F.explode(F.array_distinct(tokens(F.col(text), stop_words))).alias("term"))
+    return terms.groupBy("term").agg(F.count("*").alias("df"))
+
+
+def vocabulary(df: DataFrame, text: str = "text", min_df: int = MIN_DF, max_df: float = MAX_DF,
+               stop_words: tuple[str, ...] | None = None) -> DataFrame:
     """(term, df) of the terms in at least `min_df` texts and at most `max_df` of them."""
-    per_term = counts.groupBy("term").agg(F.count("*").alias("df"))
-    return per_term.filter((F.col("df") >= min_df) & (F.col("df") <= max_df * n_docs))
+    n_docs = df.agg(F.count("*").alias("n")).scalar()
+    return document_frequency(df, text, stop_words).filter(
+        (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n_docs))
 
 
 def idf(df: Column, n_docs: int) -> Column:
@@ -48,6 +56,7 @@ class TextModel:
     """Fitted vocabulary with idf, and per term what Naive Bayes adds to the log odds.
 
     `terms` has (term, df, idf, odds, odds0..): `odds` from all rows, `odds<f>` without fold f.
+    `train` is the written TF-IDF table (id, y, fold, term, w) of the training rows.
     """
 
     terms: DataFrame
@@ -56,28 +65,32 @@ class TextModel:
     oof_priors: list[float]
     text: str = "text"
     stop_words: tuple[str, ...] | None = None
+    train: DataFrame | None = None
 
-    def tfidf(self, df: DataFrame) -> DataFrame:
-        return weights(term_counts(df, self.text, self.stop_words), self.terms)
+    def tfidf(self, df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+        return weights(term_counts(df, self.text, self.stop_words), self.terms, extra)
 
-    def nb_probability(self, df: DataFrame, out_of_fold: bool = False) -> DataFrame:
-        """(id, nb_prob) for every row; texts without known terms get the class prior.
+    def probability(self, rows: DataFrame, evidence: DataFrame, prior: Column) -> DataFrame:
+        """(id, nb_prob) for `rows`; texts without known terms get the class prior."""
+        log_odds = prior + F.coalesce("evidence", F.lit(0.0))
+        return rows.join(evidence, "id", "left").select(
+            "id", (F.lit(1.0) / (F.lit(1.0) + F.exp(-log_odds))).alias("nb_prob"))
 
-        With `out_of_fold` the rows need `fold`, and a row's value uses the other folds' labels only.
-        """
-        keep, folds = (("fold",), range(len(self.oof_priors))) if out_of_fold else ((), ())
-        extra = tuple(f"odds{f}" for f in folds) or ("odds",)
-        weighed = weights(term_counts(df, self.text, self.stop_words, keep), self.terms, extra)
+    def nb_probability(self, df: DataFrame) -> DataFrame:
+        """For new rows: Naive Bayes of all training rows."""
+        found = self.tfidf(df, ("odds",)).groupBy("id").agg(F.sum(F.col("w") * F.col("odds")).alias("evidence"))
+        return self.probability(df.select("id"), found, F.lit(self.prior))
+
+    def out_of_fold_probability(self, df: DataFrame) -> DataFrame:
+        """For the training rows with their `fold`: Naive Bayes of the other folds' labels only."""
+        names = [f"odds{f}" for f in range(len(self.oof_priors))]
 
         def of_fold(values: list[Column]) -> Column:
             return F.element_at(F.array(*values), F.col("fold") + 1)
 
-        odds = of_fold([F.col(c) for c in extra]) if out_of_fold else F.col("odds")
-        prior = of_fold([F.lit(p) for p in self.oof_priors]) if out_of_fold else F.lit(self.prior)
-        evidence = weighed.groupBy("id").agg(F.sum(F.col("w") * odds).alias("evidence"))
-        joined = df.select("id", *keep).join(evidence, "id", "left")
-        log_odds = prior + F.coalesce("evidence", F.lit(0.0))
-        return joined.select("id", (F.lit(1.0) / (F.lit(1.0) + F.exp(-log_odds))).alias("nb_prob"))
+        met = lookup(self.train, self.terms.select("term", "df", *names), "term", rows_of="df")
+        found = met.groupBy("id").agg(F.sum(F.col("w") * of_fold([F.col(c) for c in names])).alias("evidence"))
+        return self.probability(df.select("id", "fold"), found, of_fold([F.lit(p) for p in self.oof_priors]))
 
 
 def fit_vocabulary(df: DataFrame, text: str = "text", min_df: int = MIN_DF, max_df: float = MAX_DF,
@@ -87,7 +100,7 @@ def fit_vocabulary(df: DataFrame, text: str = "text", min_df: int = MIN_DF, max_
     Terms in too many texts stay in it, without idf: a lookup then knows them as hot terms.
     """
     n_docs = df.count()
-    found = vocabulary(term_counts(df, text, stop_words), n_docs, min_df, 1.0)
+    found = document_frequency(df, text, stop_words).filter(F.col("df") >= min_df)
     known = F.when(F.col("df") <= max_df * n_docs, idf(F.col("df"), n_docs))
     return written(found.withColumn("idf", known), "vocabulary"), n_docs
 
@@ -108,7 +121,7 @@ def fit_text(df: DataFrame, text: str = "text", folds: int = 5, alpha: float = A
     other folds hold is the total less the own fold.
     """
     vocab, n_docs = fit_vocabulary(df, text, min_df, max_df, stop_words)
-    weighed = weights(term_counts(df, text, stop_words, ("y", "fold")), vocab)
+    weighed = written(weights(term_counts(df, text, stop_words, ("y", "fold")), vocab), "tfidf")
     cells = [(c, f) for c in (0, 1) for f in range(folds)]
     sums = written(weighed.groupBy("term").agg(*[
         F.coalesce(F.sum(F.when((F.col("y") == c) & (F.col("fold") == f), F.col("w"))), F.lit(0.0)).alias(f"w{c}_{f}")
@@ -131,7 +144,7 @@ def fit_text(df: DataFrame, text: str = "text", folds: int = 5, alpha: float = A
     terms = vocab.join(sums, "term", "left").select("term", "df", "idf", *[c.alias(n) for n, c in odds.items()])
     return TextModel(
         written(terms, "terms"), n_docs, _log_ratio(n_rows(1, None), n_rows(0, None)),
-        [_log_ratio(n_rows(1, f), n_rows(0, f)) for f in range(folds)], text, stop_words,
+        [_log_ratio(n_rows(1, f), n_rows(0, f)) for f in range(folds)], text, stop_words, weighed,
     )
 
 

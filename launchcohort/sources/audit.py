@@ -39,8 +39,8 @@ def verdicts(manifest: DataFrame, facts: DataFrame, key: str = "stamp") -> DataF
     Adds `ok` and `reason`. The chunk count is judged before the size; an expected count of NULL
     is not judged.
     """
-    megabytes = F.format_string("%.0f", "mb")
-    expected = F.format_string("%.0f", "expected_mb")
+    megabytes = F.bround("mb", 0).cast("bigint").cast("string")
+    expected = F.bround("expected_mb", 0).cast("bigint").cast("string")
     short = F.col("expected_chunks").isNotNull() & (F.col("chunks") != F.col("expected_chunks"))
     off = F.abs(F.col("mb") - F.col("expected_mb")) / F.col("expected_mb") > SIZE_TOLERANCE
     reason = (
