@@ -6,11 +6,10 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from launchcohort.sources.snapshots import USED_COLUMNS
+from launchcohort.sources.snapshots import USED_COLUMNS, file_system
 
 
 def write_archives(df: DataFrame, folder: str) -> DataFrame:
@@ -20,7 +19,7 @@ def write_archives(df: DataFrame, folder: str) -> DataFrame:
     """
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         name = f"{folder}/archive_{TaskContext.get().partitionId():06d}.zip"
-        fs, path = pyarrow.fs.FileSystem.from_uri(name if "://" in name else f"file://{name}")
+        fs, path = file_system(name)
         fs.create_dir(path.rsplit("/", 1)[0])
         n = 0
         with fs.open_output_stream(path) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:

@@ -91,7 +91,7 @@ def final(spark, sf_dir) -> experiment.Final:
 @query("s1_csv_scan")
 def s1(spark, sf_dir):
     files = snapshots.list_files(spark, dump(spark, sf_dir))
-    return snapshots.read_csv(spark, [r["path"] for r in files.collect()]).select(*snapshots.USED_COLUMNS)
+    return snapshots.read_csv(spark, files).select(*snapshots.USED_COLUMNS)
 
 
 @query("s2_archive_scan")

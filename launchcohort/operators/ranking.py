@@ -87,7 +87,7 @@ def key_at_rank(df: DataFrame, rank: int, levels: list[Column]) -> list[int] | N
         rank -= int(upto.iloc[spot - 1]) if spot else 0
         found.append(int(counts[name].iloc[spot]))
         rest = rest.filter(F.col(name) == found[-1])
-        if counts["n"].iloc[spot] <= SMALL:
+        if i + 1 < len(names) and counts["n"].iloc[spot] <= SMALL:
             row = rest.orderBy(*names[i + 1:]).limit(rank).toPandas().iloc[-1]
             return [int(row[n]) for n in names]
     return found

@@ -28,25 +28,22 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "lau
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it in `spark.checkpoint.dir`.
+    """This application's folder below the one the cluster names in `spark.checkpoint.dir`.
 
     Only a local session may go without that setting; it then gets a fresh temporary folder.
     """
-    named = spark.conf.get(CHECKPOINT_KEY, None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        named = spark.conf.get(CHECKPOINT_KEY, None)
+        if not named and not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="launchcohort-")
-        spark.conf.set(CHECKPOINT_KEY, named)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(named)
-    return named
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="launchcohort-"))
+    return context.getCheckpointDir()
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark).rstrip('/')}/launchcohort/{app}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark).rstrip('/')}/launchcohort/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -23,7 +23,7 @@ def archive_facts(files: DataFrame) -> DataFrame:
                 try:
                     with open_file(path) as handle, zipfile.ZipFile(handle) as z:
                         chunks.append(len(csv_members(z)))
-                except zipfile.BadZipFile:
+                except (zipfile.BadZipFile, ValueError):  # no archive, or too short to be one
                     chunks.append(-1)
             yield pd.DataFrame({"path": b["path"], "length": b["length"], "chunks": chunks})
 
