@@ -94,7 +94,9 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "lang", "source")
+    """All documents. The given table is one file, read by one task, so its rows are dealt out by id."""
+    found = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "lang", "source")
+    return found.repartition("id")
 
 
 def doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

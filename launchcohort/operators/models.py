@@ -62,12 +62,13 @@ class Zoo:
         """Penalties are per mean loss here, so the per-sum penalties are divided by the rows.
 
         The linear estimators scale features themselves, with the same effect as a scaler before
-        them. Least squares also scales the label, whose balanced deviation is 1/2.
+        them, and stop at a tolerance of 1e-4. Least squares also scales the label, whose balanced deviation is 1/2.
         """
         common = dict(labelCol="y", featuresCol="features", weightCol="weight")
+        until = dict(maxIter=self.steps, tol=1e-4)
 
         def linear(penalty: float, l1: float) -> LinearRegression:
-            return LinearRegression(regParam=penalty, elasticNetParam=l1, maxIter=self.steps, **common)
+            return LinearRegression(regParam=penalty, elasticNetParam=l1, **until, **common)
 
         net = MultilayerPerceptronClassifier(
             labelCol="y", featuresCol="scaled", layers=[n_features, self.net_units, 2],
@@ -79,8 +80,8 @@ class Zoo:
                 numTrees=self.forest_trees, maxDepth=self.forest_depth, minInstancesPerNode=10,
                 featureSubsetStrategy="sqrt", seed=seed, **common),
             "Neural Net": Pipeline(stages=[scaler, net]),
-            "SVM": LinearSVC(regParam=1.0 / n_rows, maxIter=self.steps, **common),
-            "Logistic": LogisticRegression(regParam=1.0 / (0.1 * n_rows), maxIter=self.steps, **common),
+            "SVM": LinearSVC(regParam=1.0 / n_rows, **until, **common),
+            "Logistic": LogisticRegression(regParam=1.0 / (0.1 * n_rows), **until, **common),
             "Ridge": linear(0.5 / n_rows, 0.0),
             "OLS": linear(0.0, 0.0),
             "Lasso": linear(1e-4, 1.0),

@@ -21,14 +21,15 @@ def term_counts(df: DataFrame, text: str = "text", stop_words: tuple[str, ...] |
                 keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, *keep, term, tf). The texts are spread by id once; counting terms then needs no shuffle."""
     spread = df.select("id", *keep, text).repartition("id")
-    terms = spread.select("id", *keep, F.explode(tokens(F.col(text), stop_words)).alias("term"))
-    return terms.groupBy("id", *keep, "term").agg(F.count("*").alias("tf"))
+    # The outer form: the plain one makes Spark split every text twice, to drop empty ones first.
+    terms = spread.select("id", *keep, F.explode_outer(tokens(F.col(text), stop_words)).alias("term"))
+    return terms.filter(F.col("term").isNotNull()).groupBy("id", *keep, "term").agg(F.count("*").alias("tf"))
 
 
 def document_frequency(df: DataFrame, text: str = "text", stop_words: tuple[str, ...] | None = None) -> DataFrame:
     """(term, df): in how many texts each term is. Repeats go within the row, so only sums are shuffled."""
-    terms = df.select(F.explode(F.array_distinct(tokens(F.col(text), stop_words))).alias("term"))
-    return terms.groupBy("term").agg(F.count("*").alias("df"))
+    terms = df.select(F.explode_outer(F.array_distinct(tokens(F.col(text), stop_words))).alias("term"))
+    return terms.filter(F.col("term").isNotNull()).groupBy("term").agg(F.count("*").alias("df"))
 
 
 def vocabulary(df: DataFrame, text: str = "text", min_df: int = MIN_DF, max_df: float = MAX_DF,
@@ -174,7 +175,8 @@ BOOSTERS = {
     "marginally": -BOOST, "occasionally": -BOOST, "partly": -BOOST, "scarcely": -BOOST,
     "slightly": -BOOST, "somewhat": -BOOST,
 }
-EDGE = r"[\p{P}\p{S}]+"
+# Punctuation and symbols at the edges of words.
+EDGES = rf"(^|(?<=[{SPACE}]))[\p{{P}}\p{{S}}]+|[\p{{P}}\p{{S}}]+(?=[{SPACE}]|$)"
 
 
 def marks(text: Column, mark: str) -> Column:
@@ -192,51 +194,63 @@ def compound(total: Column, stress: Column) -> Column:
     return moved / F.sqrt(moved * moved + ALPHA_SCORE)
 
 
+def rules_table(lexicon: DataFrame, boosters: dict[str, float], negators: tuple[str, ...]) -> DataFrame:
+    """The written (term, valence, shift, turn) table of every word that counts; 'but' is one."""
+    names = sorted({*boosters, *negators, "but"})
+    rows = [(t, float(boosters.get(t, 0.0)), NEGATION if t in negators else 1.0) for t in names]
+    others = lexicon.sparkSession.createDataFrame(rows, "term string, shift double, turn double")
+    # A word of the lexicon is judged by its valence alone.
+    plain = F.col("valence").isNull()
+    return written(lexicon.select("term", "valence").join(others, "term", "full").select(
+        "term", "valence", F.when(plain, F.col("shift")).otherwise(0.0).alias("shift"),
+        F.when(plain, F.col("turn")).otherwise(1.0).alias("turn")), "rules")
+
+
 def sentiment(df: DataFrame, lexicon: DataFrame, text: str = "text",
               boosters: dict[str, float] | None = None, negators: tuple[str, ...] = NEGATORS) -> DataFrame:
-    """(id, sent_compound, sent_mean_sentence) from a written lexicon (term, valence).
+    """(id, sent_compound, sent_mean_sentence) from a lexicon (term, valence).
 
-    Texts are spread by id once; the words of a text stay together, so looking at the words before
-    each word and adding up needs no further shuffle.
+    The sentences are spread by text once; all the rest happens within a text. Only words with a
+    rule go on: at most three of them can lie within the reach of a word, so looking back over
+    three such words sees all there are.
     """
-    boosters = BOOSTERS if boosters is None else boosters
-    words = F.filter(F.transform(F.split(F.col("sentence"), f"[{SPACE}]+"),
-                                 lambda w: F.lower(F.regexp_replace(w, f"^{EDGE}|{EDGE}$", ""))), lambda w: w != "")
-    spread = df.select("id", F.col(text).alias("text")).repartition("id")
-    # What is said of a whole text or sentence is worked out before it is taken apart.
-    whole = spread.select("id", emphasis(marks(F.col("text"), "!"), marks(F.col("text"), "?")).alias("stress"),
-                          sentences(F.col("text")).alias("sentences"))
-    parts = whole.select("id", "stress", F.size("sentences").alias("n_sentences"),
-                         F.posexplode("sentences").alias("part", "sentence"))
+    rules = rules_table(lexicon, BOOSTERS if boosters is None else boosters, negators)
+
+    # What is said of a whole text or sentence is worked out before it is taken apart. The outer
+    # explodes keep Spark from splitting every text twice, to drop empty ones first.
+    whole = df.select("id", emphasis(marks(F.col(text), "!"), marks(F.col(text), "?")).alias("stress"),
+                      F.size(sentences(F.col(text))).alias("n_sentences"), sentences(F.col(text)).alias("sentences"))
+    parts = whole.select("id", "stress", "n_sentences", F.posexplode_outer("sentences").alias("part", "sentence"))
+    plain = F.lower(F.regexp_replace("sentence", EDGES, ""))
     split = parts.select("id", "stress", "n_sentences", "part",
                          emphasis(marks(F.col("sentence"), "!"), marks(F.col("sentence"), "?")).alias("part_stress"),
-                         words.alias("words"))
-    placed = split.select("id", "stress", "n_sentences", "part", "part_stress",
-                          F.posexplode("words").alias("place", "term"))
-    shifts = F.create_map(*[F.lit(v) for pair in boosters.items() for v in pair])
-    known = lookup(placed, lexicon.select("term", "valence"), "term").select(
-        "id", "stress", "n_sentences", "part", "part_stress", "place", "term", "valence",
-        F.when(F.col("valence").isNull(), F.coalesce(F.try_element_at(shifts, F.col("term")), F.lit(0.0))).alias("shift"),
-        F.when(F.col("valence").isNull() & F.col("term").isin(list(negators)), NEGATION).otherwise(1.0).alias("turn"))
-    order = Window.partitionBy("id").orderBy("part", "place")
+                         F.filter(F.split(plain, f"[{SPACE}]+"), lambda w: w != "").alias("words"))
+    earlier = Window.partitionBy("id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offset = split.withColumn("before", F.coalesce(F.sum(F.size("words")).over(earlier), F.lit(0)))
+    placed = offset.select("id", "stress", "n_sentences", "part", "part_stress", "before",
+                           F.posexplode_outer("words").alias("place", "term")).withColumn("at", F.col("before") + F.col("place"))
+    known = lookup(placed.drop("before"), rules, "term").filter(
+        F.col("shift").isNotNull())
+    order = Window.partitionBy("id").orderBy("at")
     back = range(1, len(DAMPING) + 1)
+    but = F.col("term") == "but"
     seen = known.withColumns({
-        f"{c}_{d}": F.lag(c, d).over(order) for c in ("shift", "turn", "part") for d in back
-    }).withColumns({
-        "but_part": F.min(F.when(F.col("term") == "but", F.struct("part", "place"))).over(Window.partitionBy("id")),
-        "but_place": F.min(F.when(F.col("term") == "but", F.col("place"))).over(Window.partitionBy("id", "part")),
+        **{f"{c}_{d}": F.lag(c, d).over(order) for c in ("shift", "turn", "part", "at") for d in back},
+        "but_at": F.min(F.when(but, F.col("at"))).over(Window.partitionBy("id")),
+        "but_place": F.min(F.when(but, F.col("place"))).over(Window.partitionBy("id", "part")),
     }).filter(F.col("valence").isNotNull())
 
     def scored(same_part: bool) -> Column:
         v = F.col("valence")
         for d in back:
-            near = F.col(f"part_{d}") == F.col("part") if same_part else F.lit(True)
-            shift = F.when(near, F.coalesce(F.col(f"shift_{d}"), F.lit(0.0))).otherwise(0.0)
-            turn = F.when(near, F.coalesce(F.col(f"turn_{d}"), F.lit(1.0))).otherwise(1.0)
+            # The word `d` places before, if it has a rule, is one of the three last seen.
+            here = [(F.col("at") - F.col(f"at_{k}") == d) & ((F.col(f"part_{k}") == F.col("part")) if same_part else F.lit(True))
+                    for k in back]
+            shift = F.coalesce(*[F.when(h, F.col(f"shift_{k}")) for h, k in zip(here, back)], F.lit(0.0))
+            turn = F.coalesce(*[F.when(h, F.col(f"turn_{k}")) for h, k in zip(here, back)], F.lit(1.0))
             v = (v + F.signum("valence") * shift * DAMPING[d - 1]) * turn
-        here = F.col("place") if same_part else F.struct("part", "place")
-        but = F.col("but_place") if same_part else F.col("but_part")
-        return v * F.when(here < but, BEFORE_BUT).when(here > but, AFTER_BUT).otherwise(1.0)
+        at, split = (F.col("place"), F.col("but_place")) if same_part else (F.col("at"), F.col("but_at"))
+        return v * F.when(at < split, BEFORE_BUT).when(at > split, AFTER_BUT).otherwise(1.0)
 
     per_part = seen.groupBy("id", "part").agg(
         F.first("stress").alias("stress"), F.first("n_sentences").alias("n_sentences"),
