@@ -9,17 +9,20 @@ from pyspark.sql import functions as F
 from launchcohort.session import written
 
 SMALL = 65536
-RANGES = 256
+RANGES = (256, 10000)
+ROWS_PER_RANGE = 1_000_000
 
 
 def running_totals(counts: DataFrame, order: str, total: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Running sum of `total` in `order` within `by`, as `upto` (this row included), and `total_all`.
 
-    `counts` has one row per (by, order). It is cut into ranges of about equal size; each range is
-    summed alone, and only the at most `RANGES` range sums of a group are added up in one place.
+    `counts` has one row per (by, order). It is cut into ranges of about equal size, more of them
+    the more rows there are; each range is summed alone, and only the at most 10,000 range sums of
+    a group are added up in one place.
     """
-    cuts = [i / RANGES for i in range(1, RANGES)]
-    found = counts.select(F.percentile_approx(F.col(order).cast("double"), cuts, 10000)).first()[0] or []
+    ranges = min(max(RANGES[0], counts.count() // ROWS_PER_RANGE), RANGES[1])
+    cuts = [i / ranges for i in range(1, ranges)]
+    found = counts.select(F.percentile_approx(F.col(order).cast("double"), cuts, 20 * ranges)).first()[0] or []
     splits = [-float("inf"), *sorted(set(found)), float("inf")]
     ranged = Bucketizer(splits=splits, inputCol="_order", outputCol="_range").transform(
         counts.withColumn("_order", F.col(order).cast("double")))

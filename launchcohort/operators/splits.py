@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from launchcohort.functions.scalars import DAY, key_hash
+from launchcohort.functions.scalars import key_hash
 from launchcohort.operators.ranking import digits, key_at_rank, up_to
 
 
@@ -15,8 +15,7 @@ def random_levels(seed: int) -> list[Column]:
 
 
 def launch_levels() -> list[Column]:
-    day = F.floor(F.col("launched_at") / DAY)
-    return [day, F.col("launched_at") - day * DAY, *digits(F.col("id"))]
+    return [*digits(F.col("launched_at")), *digits(F.col("id"))]
 
 
 def with_split(df: DataFrame, mode: str = "random", test_size: float = 0.3, seed: int = 42) -> DataFrame:
