@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from launchcohort.llm import line_dedup, substring_dedup
+import public_tokenizers
+from launchcohort.llm import line_dedup, secrets, substring_dedup, token_counts, url_filter
 from launchcohort.llm.common import table
 
 
@@ -13,10 +14,26 @@ def op1_line_dedup(spark, sf_dir):
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_secret_scan(spark, sf_dir):
+    out = secrets.secret_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n = [F.expr(f"bigint(size(filter(base, x -> x.kind = '{k}')))").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return out.select("row.doc_id", *n, F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
+
+
 def op3_substring_dedup(spark, sf_dir):
     out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), window=35, digest=True)
     return out.select("row.doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_substring_dedup)}
+def op4_token_counts(spark, sf_dir):
+    out = token_counts.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+def op9_url_filter(spark, sf_dir):
+    out = url_filter.url_filter(table(spark, sf_dir, "pages").select("page_id", "url"), url_filter.labelled_urls(spark))
+    return out.select("row.page_id", "host", "path", "rule", "verdict", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_substring_dedup, op4_token_counts, op9_url_filter)}
 ORACLES: dict[str, str] = {}
