@@ -200,7 +200,7 @@ def _expand(ranges: np.ndarray) -> np.ndarray:
 
 def _verify(groups: int, window: int):
     def run(docs: pa.Table, candidates: pa.Table) -> pa.Table:
-        out: list[tuple[int, bytes]] = []
+        out: list[tuple[int, bool, bytes]] = []
         blobs = candidates.column("blob").to_pylist()
         if docs.num_rows and blobs:
             places = _expand(np.concatenate([np.frombuffer(b, RANGE) for b in blobs]))
@@ -215,25 +215,34 @@ def _verify(groups: int, window: int):
                 mark = np.zeros(len(at), MARK)
                 mark["a"], mark["b"] = fingerprints(words, at, window)
                 mark["at"], mark["key"] = places["at"][take], np.repeat(keys[i:j], n)
-                out += [(b, p.tobytes()) for b, p in _spread((mark["a"] % U(groups)).astype(np.int64), mark)]
+                order = np.lexsort((mark["b"], mark["a"]))
+                mark = mark[order]
+                new = np.append(True, (mark["a"][1:] != mark["a"][:-1]) | (mark["b"][1:] != mark["b"][:-1]))[:len(mark)]
+                again = ~new | np.append(~new[1:], False)[:len(mark)]
+                # What repeats within the slice is confirmed already; one of each goes on for the others.
+                if again.any():
+                    out.append(((int(keys[i]) + i) % groups, True, mark[again][["key", "at"]].astype(PLACE).tobytes()))
+                out += [(b, False, p.tobytes()) for b, p in _spread((mark["a"][new] % U(groups)).astype(np.int64), mark[new])]
         group = docs.column("group")[0].as_py() if docs.num_rows else 0
-        return pa.table({"bucket": pa.array([b for b, _ in out], pa.int32()), "group": pa.array([group] * len(out), pa.int32()),
-                         "blob": pa.array([p for _, p in out], pa.binary())})
+        return pa.table({"bucket": pa.array([o[0] for o in out], pa.int32()), "group": pa.array([group] * len(out), pa.int32()),
+                         "sure": pa.array([o[1] for o in out], pa.bool_()), "blob": pa.array([o[2] for o in out], pa.binary())})
 
     return run
 
 
 def _confirm(part: pa.Table) -> pa.Table:
-    blobs = [np.frombuffer(b, MARK) for b in part.column("blob").to_pylist()]
-    rows = np.concatenate(blobs)
-    group = np.repeat(part.column("group").to_numpy(), [len(b) for b in blobs])
+    sure, home, packed = (part.column(c).to_pylist() for c in ("sure", "group", "blob"))
+    out = [(g, b) for g, s, b in zip(home, sure, packed) if s]
+    blobs = [(g, np.frombuffer(b, MARK)) for g, s, b in zip(home, sure, packed) if not s]
+    rows = np.concatenate([np.zeros(0, MARK), *(b for _, b in blobs)])
+    group = np.repeat(np.array([g for g, _ in blobs], np.int64), [len(b) for _, b in blobs])
     order = np.lexsort((rows["b"], rows["a"]))
     a, b = rows["a"][order], rows["b"][order]
     same = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
     twice = np.zeros(len(rows), bool)
     twice[order[1:][same]] = twice[order[:-1][same]] = True
-    out = list(_spread(group[twice], rows[twice][["key", "at"]].astype(PLACE)))
-    return pa.table({"group": pa.array([g for g, _ in out], pa.int32()), "blob": pa.array([p.tobytes() for _, p in out], pa.binary())})
+    out += [(g, p.tobytes()) for g, p in _spread(group[twice], rows[twice][["key", "at"]].astype(PLACE))]
+    return pa.table({"group": pa.array([g for g, _ in out], pa.int32()), "blob": pa.array([b for _, b in out], pa.binary())})
 
 
 def _remove(window: int, digest: bool):
@@ -281,7 +290,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id
     candidates = named_.where("kind < 0").select("group", "blob").unionByName(shared)
     rows = docs.select(group, key.alias("key"), F.col(text).alias("text"), F.struct(*[docs[c] for c in docs.columns if c != text]).alias("row"))
     marks = (rows.groupBy("group").cogroup(candidates.groupBy("group"))
-             .applyInArrow(_verify(groups, window), "bucket int, group int, blob binary"))
+             .applyInArrow(_verify(groups, window), "bucket int, group int, sure boolean, blob binary"))
     repeated = marks.groupBy("bucket").applyInArrow(_confirm, "group int, blob binary")
     out = StructType([StructField("row", rows.schema["row"].dataType), StructField("n_words", LongType()),
                       StructField("n_removed", LongType()), StructField("kept", StringType())])
