@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from launchcohort.llm import cover_join, line_dedup, minhash, secrets, substring_dedup, token_counts, url_filter
+from launchcohort.llm import cover_join, line_dedup, minhash, mixing, secrets, substring_dedup, token_counts, url_filter
 from launchcohort.llm.common import table
 
 
@@ -35,6 +35,11 @@ def op6_embedding_links(spark, sf_dir):
     return out.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op7_mix_sources(spark, sf_dir):
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.select("row.doc_id", "size", "source_size", "target", "taken", "shard")
+
+
 def op8_near_duplicates(spark, sf_dir):
     out = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words_per=2, similarity=80)
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -45,5 +50,5 @@ def op9_url_filter(spark, sf_dir):
     return out.select("row.page_id", "host", "path", "rule", "verdict", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_substring_dedup, op4_token_counts, op6_embedding_links, op8_near_duplicates, op9_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_substring_dedup, op4_token_counts, op6_embedding_links, op7_mix_sources, op8_near_duplicates, op9_url_filter)}
 ORACLES: dict[str, str] = {}
