@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from launchcohort.llm import cover_join, line_dedup, minhash, mixing, secrets, substring_dedup, token_counts, url_filter
+from launchcohort.llm import cover_join, decontamination, line_dedup, minhash, mixing, secrets, substring_dedup, token_counts, toxicity, url_filter
 from launchcohort.llm.common import table
 
 
@@ -30,6 +30,11 @@ def op4_token_counts(spark, sf_dir):
     return out.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+def op5_toxicity(spark, sf_dir):
+    out = toxicity.toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return out.select("row.doc_id", toxicity.held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_embedding_links(spark, sf_dir):
     out = cover_join.cover_join(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), cosine=0.98)
     return out.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -50,5 +55,10 @@ def op9_url_filter(spark, sf_dir):
     return out.select("row.page_id", "host", "path", "rule", "verdict", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_substring_dedup, op4_token_counts, op6_embedding_links, op7_mix_sources, op8_near_duplicates, op9_url_filter)}
+def op10_decontamination(spark, sf_dir):
+    out = decontamination.contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "score", F.col("end").alias("end_word"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_substring_dedup, op4_token_counts, op5_toxicity, op6_embedding_links, op7_mix_sources, op8_near_duplicates, op9_url_filter, op10_decontamination)}
 ORACLES: dict[str, str] = {}
