@@ -8,9 +8,12 @@ to buckets. With 48 bands of 5 rows a pair at similarity 0.8 misses all buckets
 Documents of equal sets form one class, and classes are what is compared. In a bucket every class
 meets the smallest and the largest one; all pairs of up to three classes are covered by that. Where
 larger buckets hold classes that are not yet connected, further rounds go on with another pivot per
-bucket, and when the pairs left are no more than a few per row, all of them are compared. So groups
-of thousands of near copies cost some comparisons per document and no pair that could connect is
-left out. Signatures only find candidates; the links come from intersections of the full sets.
+bucket, and when the pairs left are no more than `PAIRS_PER_ROW` per row, all of them are compared. So
+groups of thousands of near copies cost some comparisons per document and no pair that could connect
+is left out. A pair goes on only if its set sizes allow the similarity and the lowest bits of its
+signatures differ in at most `DIFFERENT` of 240 coordinates; at similarity 0.8 those bits differ in 24
+on average, and in more than 56 with a probability below 1e-9. Signatures only find candidates; the
+links come from intersections of the full sets.
 
 A bucket's pivots are found by sums made before the shuffle, joins on buckets, pivots and classes
 are plain ones that Spark may split where they are skewed, and the candidates' sets are the only ones
@@ -38,8 +41,9 @@ from launchcohort.session import written
 BANDS, ROWS = 48, 5
 SIMILARITY = 80
 BROADCAST_DOCS = 1 << 20
-PIVOT_ROUNDS = 6
-PAIRS_PER_ROW = 8
+PIVOT_ROUNDS = 3
+PAIRS_PER_ROW = 64
+DIFFERENT = 56
 
 
 def shingle_sets(texts: list[bytes], words_per: int) -> list[np.ndarray]:
@@ -89,6 +93,12 @@ def buckets(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return h
 
 
+def lowest_bits(signature: np.ndarray) -> np.ndarray:
+    """One bit of each coordinate, 64 to a number."""
+    bits = np.packbits((signature & 1).astype(np.uint8), axis=1)
+    return np.ascontiguousarray(np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8)))).view(np.int64)
+
+
 def class_of(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=12).digest()
 
@@ -101,14 +111,17 @@ def _sign(words_per: int, bands: int, rows: int):
                 sets = shingle_sets(texts[i:j], words_per)
                 full = [k for k, s in enumerate(sets) if len(s)]
                 found: list = [None] * len(sets)
+                sketch: list = [None] * len(sets)
                 if full:
-                    got = buckets(signatures([sets[k] for k in full], bands * rows), bands, rows).view(np.int64)
-                    for k, b in zip(full, got):
-                        found[k] = b
+                    signed = signatures([sets[k] for k in full], bands * rows)
+                    got = buckets(signed, bands, rows).view(np.int64)
+                    for k, b, low in zip(full, got, lowest_bits(signed)):
+                        found[k], sketch[k] = b, low
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(map(len, sets), pa.int64()),
-                     pa.array([class_of(s) if len(s) else None for s in sets], pa.binary()), pa.array(found, pa.list_(pa.int64()))],
-                    names=["id", "mark", "n_shingles", "node", "buckets"])
+                     pa.array([class_of(s) if len(s) else None for s in sets], pa.binary()), pa.array(found, pa.list_(pa.int64())),
+                     pa.array(sketch, pa.list_(pa.int64()))],
+                    names=["id", "mark", "n_shingles", "node", "buckets", "sketch"])
 
     return run
 
@@ -157,12 +170,21 @@ def near_duplicates(docs: DataFrame, words_per: int = 5, similarity: int = SIMIL
     """
     mark = F.xxhash64(F.col(doc_id), F.col(text)).alias("mark")
     signed = written(docs.select(F.col(doc_id).cast("long").alias("id"), mark, F.col(text).alias("text"))
-                     .mapInArrow(_sign(words_per, bands, rows), "id long, mark long, n_shingles long, node binary, buckets array<long>"), "signed")
+                     .mapInArrow(_sign(words_per, bands, rows), "id long, mark long, n_shingles long, node binary, buckets array<long>, sketch array<long>"), "signed")
     classes = written(signed.where("node is not null").groupBy("node").agg(F.min("id").alias("least"), F.min_by("mark", F.struct("id", "mark")).alias("mark"), F.min_by("id", F.struct("id", "mark")).alias("id"),
-                                                                           F.first("buckets").alias("buckets")), "classes")
+                                                                           F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("size")), "classes")
     each = classes.select("node", F.explode("buckets").alias("bucket"))
     shared = each.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
-    met = written(each.join(shared, "bucket"), "met")
+    met = written(each.join(shared, "bucket").join(classes.select("node", "size", "sketch"), "node"), "met")
+    words = -(-bands * rows // 64)
+    limit = DIFFERENT * bands * rows // (BANDS * ROWS)
+
+    def alike(a: str, b: str):
+        """Whether two columns (node, size, sketch) may be similar."""
+        differ = " + ".join(f"bit_count({a}.sketch[{k}] ^ {b}.sketch[{k}])" for k in range(words))
+        return F.expr(f"{a}.node != {b}.node and 100 * least({a}.size, {b}.size) >= {similarity} * greatest({a}.size, {b}.size) and {differ} <= {limit}")
+
+    which = F.struct("node", "size", "sketch")
     nodes = met.select("node").distinct()
     texts = only(docs.select(doc_id, text), classes.join(nodes, "node", "left_semi"), doc_id=doc_id, text=text).select(text)
     sets = written(texts.mapInArrow(_sets(words_per), "node binary, shingles binary").dropDuplicates(["node"]), "sets")
@@ -172,28 +194,28 @@ def near_duplicates(docs: DataFrame, words_per: int = 5, similarity: int = SIMIL
         side = {x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab"}
         return written(pairs.join(side["a"], "a").join(side["b"], "b").mapInArrow(_compare(similarity), "a binary, b binary"), name)
 
-    ends = met.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    first = met.join(ends, "bucket")
-    found = links(first.select(F.col("node").alias("a"), F.col("lo").alias("b")).unionByName(first.select(F.col("node").alias("a"), F.col("hi").alias("b"))), "near")
+    ends = met.groupBy("bucket").agg(F.min(which).alias("lo"), F.max(which).alias("hi"))
+    first = met.select("bucket", which.alias("x")).join(ends, "bucket").select("x", F.explode(F.array("lo", "hi")).alias("y")).where(alike("x", "y"))
+    found = links(first.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "near")
     tied = written(components(found), "tied")
     for k in range(pivot_rounds + 1):
-        wide = met.where("m > 3").join(tied, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("part"))
-        split = wide.groupBy("bucket").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y").select("bucket")
+        wide = met.where("m > 3").select("bucket", "node", "size", "sketch").join(tied, "node", "left").select("bucket", which.alias("x"), F.coalesce("component", "node").alias("part"))
+        split = wide.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo != hi").select("bucket")
         open_ = written(wide.join(split, "bucket"), "open")
         n = open_.groupBy("bucket", "part").agg(F.count("*").cast("double").alias("n")).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"))
         rows_, pairs_ = n.agg(F.coalesce(F.sum("n"), F.lit(0.0)), F.coalesce(F.sum(F.col("n") * F.col("n") - F.col("nn")) / 2, F.lit(0.0))).first()
         if not rows_:
             break
         last = pairs_ <= PAIRS_PER_ROW * rows_ or k == pivot_rounds
-        left = open_.select("bucket", F.col("node").alias("a"), F.col("part").alias("pa"))
         if last:
-            right = open_.select("bucket", F.col("node").alias("b"), F.col("part").alias("pb"))
-            pairs = left.join(right, "bucket").where("pa < pb")
+            others = open_.select("bucket", F.col("x").alias("y"), F.col("part").alias("other"))
+            pairs = open_.join(others, (open_["bucket"] == others["bucket"]) & F.expr("part < other") & alike("x", "y"))
         else:
-            pivot = open_.groupBy("bucket").agg(F.min_by(F.struct(F.col("node").alias("b"), F.col("part").alias("pb")), F.xxhash64("node", F.lit(k))).alias("p")).select("bucket", "p.*")
-            pairs = left.join(pivot, "bucket").where("pa != pb")
-        more = links(pairs.select("a", "b"), "near")
-        tied = written(components(more.unionByName(tied.select(F.col("node").alias("a"), F.col("component").alias("b")))), "tied")
+            pivots = open_.groupBy("bucket").agg(F.min_by(F.struct(F.col("x").alias("y"), F.col("part").alias("other")), F.xxhash64("x.node", F.lit(k))).alias("p")).select("bucket", "p.*")
+            pairs = open_.join(pivots, "bucket").where(F.expr("part != other") & alike("x", "y"))
+        more = links(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "near")
+        if not more.isEmpty():
+            tied = written(components(more.unionByName(tied.select(F.col("node").alias("a"), F.col("component").alias("b")))), "tied")
         if last:
             break
     least = classes.select("node", "least").join(tied, "node", "left").select("node", "least", F.coalesce("component", "node").alias("part"))
