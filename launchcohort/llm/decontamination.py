@@ -169,7 +169,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     rare = counted.join(low, "item").where(F.col("df") <= F.greatest(4 * F.col("low"), F.lit(total / 10_000))).select("item", "gram", "item_at")
     met = written(hits.join(rare, "gram").groupBy("id", "mark", "item").agg(F.collect_set(F.col("at") - F.col("item_at")).alias("diagonals")), "seeded")
     some = only(docs.select(doc_id, text), met.select("id", "mark").distinct(), doc_id=doc_id, text=text)
-    word_rows = some.select(F.col(doc_id).cast("long").alias("id"), mark, F.col(text).alias("text")).mapInArrow(_words, "id long, mark long, doc_words binary").dropDuplicates(["id", "mark"])
+    word_rows = some.select(F.col(doc_id).cast("long").alias("id"), mark, F.col(text).alias("text")).mapInArrow(_words, "id long, mark long, doc_words binary")
     left = word_rows.withColumnsRenamed({"id": "_i", "mark": "_m"})
     pairs = met.join(left, met["id"].eqNullSafe(F.col("_i")) & met["mark"].eqNullSafe(F.col("_m"))).join(items.select("item", "words"), "item")
-    return pairs.select("id", "mark", "item", "diagonals", "doc_words", "words").mapInArrow(_aligned(threshold), f"id long, mark long, item {kind}, score double, end long")
+    aligned = pairs.select("id", "mark", "item", "diagonals", "doc_words", "words").mapInArrow(_aligned(threshold), f"id long, mark long, item {kind}, score double, end long")
+    return aligned.distinct()  # rows that repeat a document
