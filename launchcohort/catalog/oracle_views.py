@@ -37,7 +37,9 @@ raw_base AS (
     CASE WHEN o_orderkey % 53 = 0 THEN o_orderkey % 3 ELSE o_orderkey % (SELECT count(*) FROM part) END AS part_no,
     CASE WHEN o_orderkey % 53 = 0 THEN o_orderkey % 2 ELSE o_orderkey % (SELECT count(*) FROM benchmark) END AS item_no,
     CASE WHEN o_orderkey < (SELECT count(*) FROM orders) * 0.5 THEN 1
-         WHEN o_orderkey < (SELECT count(*) FROM orders) * 0.8 THEN 2 ELSE 3 END AS first_snapshot
+         WHEN o_orderkey < (SELECT count(*) FROM orders) * 0.8 THEN 2 ELSE 3 END AS first_snapshot,
+    CASE WHEN o_orderkey % 53 = 0 AND o_orderkey % 4 = 1 THEN greatest(CASE WHEN o_orderkey < (SELECT count(*) FROM orders) * 0.8 THEN 2 ELSE 3 END, 2)
+         ELSE 3 END AS last_snapshot
   FROM orders o),
 raw_joined AS (
   SELECT * FROM raw_base
@@ -50,14 +52,14 @@ raw AS (
     CASE WHEN snapshot < 3 AND id % 5 = 0 THEN 'live' WHEN o_orderstatus = 'F' THEN 'successful'
          WHEN o_orderstatus = 'O' THEN 'failed' ELSE 'live' END AS state,
     CASE WHEN id % 79 <> 0 THEN n_name END AS country, r_name AS currency,
-    (launch + days * 86400)::VARCHAR AS deadline, (launch - (1 + id % 40) * 86400)::VARCHAR AS created_at,
-    launch::VARCHAR AS launched_at,
+    CASE WHEN id % 103 = 0 THEN '1e30' ELSE (launch + days * 86400)::VARCHAR END AS deadline, (launch - (1 + id % 40) * 86400)::VARCHAR AS created_at,
+    CASE WHEN id % 101 = 0 THEN 'inf' ELSE launch::VARCHAR END AS launched_at,
     CASE WHEN id % 83 <> 0 THEN '1.' || r_regionkey END AS static_usd_rate,
-    CASE WHEN id % 73 = 0 THEN '{bad' WHEN id % 71 = 0 THEN NULL ELSE
+    CASE WHEN id % 73 = 0 THEN '{bad' WHEN id % 71 = 0 THEN NULL WHEN id % 74 = 0 THEN '{''name'':''single''}' WHEN id % 75 = 0 THEN '{"name":"x"} more' ELSE
       '{"name":"' || c_mktsegment || '-' || o_orderpriority || '","slug":"' || c_mktsegment || '/' || o_orderpriority || '"}' END AS category,
     CASE WHEN id % 67 = 0 THEN '[1]' ELSE '{"name":"' || c_name || '","type":"' || o_orderpriority || '"}' END AS location,
     snapshot, id % 7 AS chunk, id AS row_no
-  FROM raw_joined JOIN (SELECT unnest([1, 2, 3]) AS snapshot) ON snapshot >= first_snapshot)"""
+  FROM raw_joined JOIN (SELECT unnest([1, 2, 3]) AS snapshot) ON snapshot BETWEEN first_snapshot AND last_snapshot)"""
 
 LATEST = RAW + """,
 latest AS (
@@ -73,7 +75,8 @@ normal AS (
     {json_field('category', 'name')} AS category,
     lower({strip("split_part(" + json_field('category', 'slug') + ", '/', 1)")}) AS parent_category,
     {json_field('location', 'name')} AS location, {json_field('location', 'type')} AS location_type,
-    {number('launched_at')}::BIGINT AS launched_at, {number('deadline')}::BIGINT AS deadline
+    TRY_CAST({number('launched_at')} AS BIGINT) AS launched_at, TRY_CAST({number('deadline')} AS BIGINT) AS deadline,
+    snapshot, chunk, row_no
   FROM latest)"""
 
 VALID = NORMAL + """,
@@ -86,7 +89,7 @@ campaigns AS (
   SELECT id, name, blurb, goal_usd, usd_rate, currency, country, category, parent_category,
     location, location_type, launched_at, deadline, y
   FROM valid
-  QUALIFY row_number() OVER (PARTITION BY name, blurb, launched_at, deadline ORDER BY id DESC) = 1)"""
+  QUALIFY row_number() OVER (PARTITION BY name, blurb, launched_at, deadline ORDER BY snapshot DESC, chunk DESC, row_no DESC, id DESC) = 1)"""
 
 DOC_LABELS = """
 doc_labels AS (

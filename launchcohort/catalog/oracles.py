@@ -12,7 +12,7 @@ from launchcohort.operators.models import BEST
 from launchcohort.operators.scenarios import MULTIPLIERS
 
 MID = epoch_of("1998-01-01")
-DEDUPE = "PARTITION BY name, blurb, launched_at, deadline ORDER BY id DESC"
+DEDUPE = "PARTITION BY name, blurb, launched_at, deadline ORDER BY snapshot DESC, chunk DESC, row_no DESC, id DESC"
 USED = "id, name, blurb, goal, state, country, currency, deadline, created_at, launched_at, static_usd_rate, category, location"
 
 

@@ -30,7 +30,7 @@ LEXICON = {"the": 0.4, "and": 1.1, "der": -0.7, "ist": 1.5, "les": -1.3, "une":
            "nicht": -0.8, "est": 1.2, "was": -0.6, "lorem": 0.3, "is": 0.5}
 BOOSTERS = {"of": 0.293, "die": 0.293, "le": 0.293, "in": -0.293, "des": -0.293}
 NEGATORS = ("with", "to", "zu", "un", "not")
-LINEAR = {"m_log_goal": -0.62, "m_duration_days": -0.012, "m_launch_month": 0.03, "m_launch_dow": -0.02,
+LINEAR = {"m_log_goal": -0.5, "m_duration_days": -0.02, "m_launch_month": 0.03, "m_launch_dow": -0.02,
           "m_blurb_len": 0.004, "m_name_len": 0.01, "m_blurb_words": 0.05, "m_name_words": -0.08}
 SMALL_ZOO = Zoo(Boosting(trees=10, depth=5, bins=64), forest_trees=20, forest_depth=10, net_steps=30, steps=50)
 SMALL_GRID = {"depth": [3, 4], "rate": [0.05, 0.1], "trees": [5, 10], "min_rows": [10, 30], "column_share": [0.3, 0.5]}

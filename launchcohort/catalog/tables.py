@@ -50,6 +50,7 @@ def campaigns_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("item_no", F.when(F.col("repeats"), F.col("id") % 2).otherwise(F.col("id") % n_items))
         .withColumn("first_snapshot", F.when(F.col("id") < n_orders * 0.5, 1)
                     .when(F.col("id") < n_orders * 0.8, 2).otherwise(3))
+        .withColumn("last_snapshot", F.when(F.col("repeats") & (F.col("id") % 4 == 1), F.greatest("first_snapshot", F.lit(2))).otherwise(3))
     )
     joined = (
         base.join(customer, F.col("o_custkey") == F.col("c_custkey"))
@@ -62,12 +63,12 @@ def campaigns_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(F.col("o_orderstatus") == "O", "failed").otherwise("live"))
     slug = F.concat(F.col("c_mktsegment"), F.lit("-"), F.col("o_orderpriority"), F.lit('","slug":"'),
                     F.col("c_mktsegment"), F.lit("/"), F.col("o_orderpriority"))
-    category = (F.when(_every(73), "{bad").when(_every(71), F.lit(None))
+    category = (F.when(_every(73), "{bad").when(_every(71), F.lit(None)).when(_every(74), "{'name':'single'}").when(_every(75), '{"name":"x"} more')
                 .otherwise(F.concat(F.lit('{"name":"'), slug, F.lit('"}'))))
     location = F.when(_every(67), "[1]").otherwise(
         F.concat(F.lit('{"name":"'), F.col("c_name"), F.lit('","type":"'), F.col("o_orderpriority"), F.lit('"}')))
     return (
-        joined.withColumn("snapshot", F.explode(F.sequence(F.col("first_snapshot"), F.lit(3))))
+        joined.withColumn("snapshot", F.explode(F.sequence("first_snapshot", "last_snapshot")))
         .select(
             "id",
             F.col("p_name").alias("name"),
@@ -76,9 +77,9 @@ def campaigns_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when((F.col("snapshot") < 3) & _every(5), "live").otherwise(state).alias("state"),
             F.when(~_every(79), F.col("n_name")).alias("country"),
             F.col("r_name").alias("currency"),
-            (F.col("launch") + F.col("days") * DAY).cast("string").alias("deadline"),
+            F.when(_every(103), "1e30").otherwise((F.col("launch") + F.col("days") * DAY).cast("string")).alias("deadline"),
             (F.col("launch") - (1 + F.col("id") % 40) * DAY).cast("string").alias("created_at"),
-            F.col("launch").cast("string").alias("launched_at"),
+            F.when(_every(101), "inf").otherwise(F.col("launch").cast("string")).alias("launched_at"),
             F.when(~_every(83), F.concat(F.lit("1."), F.col("r_regionkey"))).alias("static_usd_rate"),
             category.alias("category"),
             location.alias("location"),

@@ -37,9 +37,13 @@ def strip(col: Column) -> Column:
 
 
 def json_field(col: Column, field: str) -> Column:
-    """Text field of a JSON object; 'unknown' when the JSON or the field is missing or broken."""
-    parsed = F.from_json(col, "name string, slug string, type string")
-    return F.coalesce(parsed[field], F.lit(UNKNOWN))
+    """Text field of a JSON object; 'unknown' when the JSON or the field is missing or broken.
+
+    Read as the only element of a list, so that nothing may follow the object.
+    """
+    parsed = F.from_json(F.concat(F.lit("["), col, F.lit("]")), "array<struct<name:string,slug:string,type:string>>", {"allowSingleQuotes": "false"})
+    whole = col.rlike(r"^[ \t\n\r]*\{(?s:.*)\}[ \t\n\r]*$") & (F.size(parsed) == 1)
+    return F.coalesce(F.when(whole, F.get(parsed, F.lit(0))[field]), F.lit(UNKNOWN))
 
 
 def parent_of_slug(slug: Column) -> Column:
@@ -53,6 +57,12 @@ def to_number(col: Column) -> Column:
     return F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
 
 
+def to_whole(col: Column) -> Column:
+    """Long, cut towards zero, or NULL where the text is no number, not finite or too large."""
+    number = to_number(col)
+    return F.when(F.abs(number) < 9.2e18, number.try_cast("bigint"))
+
+
 def label(state: Column) -> Column:
     out = None
     for name, value in FINAL_STATES.items():

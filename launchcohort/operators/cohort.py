@@ -43,15 +43,15 @@ def normalised(df: DataFrame) -> DataFrame:
     """JSON fields, numbers, currency and text defaults."""
     rate = F.coalesce(S.to_number(F.col("static_usd_rate")), F.lit(1.0))
     columns = {
-        "id": F.col("id").cast("bigint"),
+        "id": F.coalesce(F.col("id").try_cast("bigint"), S.to_whole(F.col("id"))),
         "parent_category": S.parent_of_slug(S.json_field(F.col("category"), "slug")),
         "category": S.json_field(F.col("category"), "name"),
         "location_type": S.json_field(F.col("location"), "type"),
         "location": S.json_field(F.col("location"), "name"),
         "usd_rate": rate,
         "goal_usd": S.to_number(F.col("goal")) * rate,
-        "launched_at": S.to_number(F.col("launched_at")).cast("bigint"),
-        "deadline": S.to_number(F.col("deadline")).cast("bigint"),
+        "launched_at": S.to_whole(F.col("launched_at")),
+        "deadline": S.to_whole(F.col("deadline")),
         "blurb": F.coalesce(F.col("blurb"), F.lit("")),
         "name": F.coalesce(F.col("name"), F.lit("")),
         "country": F.coalesce(F.col("country"), F.lit(S.UNKNOWN)),
@@ -80,8 +80,8 @@ def in_window(launch_from: int | None = None, launch_to: int | None = None):
 
 
 def without_repeats(df: DataFrame) -> DataFrame:
-    """The last row (by id) of campaigns equal in name, blurb, launch and deadline."""
-    return last_row(df, DEDUPE_KEY, ["id"])
+    """The last row, in the order of the files and then by id, of campaigns equal in name, blurb, launch and deadline."""
+    return last_row(df, DEDUPE_KEY, [c for c in SNAPSHOT_ORDER if c in df.columns] + ["id"])
 
 
 def without_banned(df: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,10 +11,17 @@ HOT_SHARE = 1000
 
 
 def table_bytes(table: DataFrame, key: str) -> int:
-    """Estimated size of a lookup table in memory."""
-    fixed = 16 * len(table.columns)
-    size = table.agg(F.sum(F.octet_length(F.col(key).cast("string")) + fixed)).first()[0]
-    return int(size or 0)
+    """Estimated size of a lookup table in memory: texts by their bytes, arrays by their elements."""
+    size = F.lit(16 * len(table.columns))
+    for name, kind in table.dtypes:
+        if kind == "string" or name == key:
+            size = size + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
+        elif kind.startswith("array"):
+            size = size + 16 * F.greatest(F.coalesce(F.size(name), F.lit(0)), F.lit(0))
+        elif kind == "vector":
+            size = size + 8 * F.coalesce(F.size(vector_to_array(F.col(name))), F.lit(0))
+    total = table.agg(F.sum(size)).first()[0]
+    return int(total or 0)
 
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, rows_of: str | None = None,

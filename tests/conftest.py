@@ -42,7 +42,7 @@ def prepared(spark, cohort_df):
     from launchcohort.plans.experiment import prepare
     from launchcohort.plans.features import FeatureBuilder
 
-    words = written(spark.createDataFrame([("cheerful", 2.0), ("honest", 2.3), ("clever", -1.5)],
+    words = written(spark.createDataFrame([("sunlit", 2.0), ("frosty", -1.5)],
                                           "term string, valence double"), "lexicon")
     builder = FeatureBuilder(lexicon=words, lda_topics=5, lsa_dims=6)
     return prepare(cohort_df, builder, ("meta", "nb", "sent", "lda", "lsa"))

@@ -24,7 +24,7 @@ def cleaned(spark, rows, **kw):
     return df, {r["id"]: r for r in cohort.clean(df, **kw).collect()}
 
 
-def test_only_finished_and_deduped(raw, cohort_df):
+def test_funnel_adds_up(raw, cohort_df):
     got = raw.transform(cohort.funnel).first()
     assert got["n_rows_read"] > got["n_unique_ids"]
     assert got["n_final"] < got["n_unique_ids"]
@@ -34,9 +34,8 @@ def test_only_finished_and_deduped(raw, cohort_df):
     assert set(found.values()) == {0}
 
 
-def test_no_post_launch_columns(cohort_df, raw):
-    assert cohort_df.columns == cohort.CLEAN_COLUMNS
-    assert not cohort.banned_in(cohort_df)
+def test_banned_columns_are_found_and_dropped(cohort_df, raw):
+    assert not cohort.banned_in(cohort_df) and cohort_df.columns == cohort.CLEAN_COLUMNS
     assert cohort.banned_in(raw) == ["state"]
     assert not cohort.banned_in(cohort.without_banned(raw.withColumn("pledged", F.lit(1))))
 
@@ -67,9 +66,22 @@ def test_bad_values(spark):
     assert got[9]["goal_usd"] == 75.0 and got[9]["parent_category"] == "tech" and got[9]["category"] == "Apps"
 
 
-def test_repeats_keep_the_last_id_as_a_number(spark):
+def test_repeats_keep_the_last_row_of_the_files(spark):
     _, got = cleaned(spark, [row("9"), row("10"), row("8", name="other")])
     assert set(got) == {10, 8}
+    _, got = cleaned(spark, [row("9", 1, state="failed"), row("2", 2, state="successful")])
+    assert {i: r["y"] for i, r in got.items()} == {2: 1}
+    _, got = cleaned(spark, [row("9", 2, "a", 7), row("3", 2, "b", 1), row("5", 2, "a", 9)])
+    assert set(got) == {3}
+
+
+def test_values_that_do_not_fit_end_no_job(spark):
+    _, got = cleaned(spark, [
+        row("1.0", name="a"), row("abc", name="b"), row("3", name="c", launched_at="inf"), row("4", name="d", deadline="1e30"),
+        row("5", name="e", deadline="200000.7"), row("6", name="f", category="{'name':'x'}"), row("7", name="g", category='{"name":"x"} junk'),
+    ])
+    assert set(got) == {1, None, 5, 6, 7} and got[5]["deadline"] == 200000
+    assert got[6]["category"] == got[7]["category"] == "unknown"
 
 
 def test_hot_id_and_hot_repeat_key(spark):

@@ -148,8 +148,8 @@ def test_bundle_survives_saving(spark, prepared, cohort_df, tmp_path):
 
 def test_scenarios(spark, prepared, final):
     rows = spark.createDataFrame([
-        (1, "A small game", "A carved lovely match by honest neighbours", "Games One", "US", "USD", 5000.0, "2020-03-01", 30, "  ", "Town"),
-        (2, "A machine", "A supreme disruptive hub", "Technology Two", "XX", "XXX", 120000.0, "2020-03-01", 60, "Town 3", "Town"),
+        (1, "Bade", "Fika lego sunlit sunlit sunlit sunlit", "Craft North", "US", "USD", 5000.0, "2020-03-01", 30, "  ", "Town"),
+        (2, "Hupu", "Nomi frosty frosty frosty frosty", "Code South", "XX", "XXX", 120000.0, "2020-03-01", 60, "Town 3", "Town"),
     ], "id bigint, name string, blurb string, category string, country string, currency string, goal double, launch string, "
        "days int, location string, location_type string")
     ready = written(scenarios.cohort_rows(rows, prepared.features.cat_parent, prepared.features.currency_rate), "plans")
