@@ -10,8 +10,9 @@ meets the smallest and the largest one; all pairs of up to three classes are cov
 larger buckets hold classes that are not yet connected, further rounds go on with another pivot per
 bucket, and when the pairs left are no more than `PAIRS_PER_ROW` per row, all of them are compared. So
 groups of thousands of near copies cost some comparisons per document and no pair that could connect
-is left out. A pair goes on only if its set sizes allow the similarity and the lowest bits of its
-signatures differ in at most `DIFFERENT` of 240 coordinates; at similarity 0.8 those bits differ in 24
+is left out. A pair goes on only if its set sizes allow the similarity, counting as common at most the
+shingles of either that any other candidate has (so copies that each have many words of their own are
+not compared with each other), and the lowest bits of its signatures differ in at most `DIFFERENT` of 240 coordinates; at similarity 0.8 those bits differ in 24
 on average, and in more than 56 with a probability below 1e-9. Signatures only find candidates; the
 links come from intersections of the full sets.
 
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from launchcohort.llm.common import byte_texts, mix, slices, word_hashes
+from launchcohort.llm.common import byte_texts, mix, shuffle_partitions, slices, word_hashes
 from launchcohort.llm.components import components
 from launchcohort.session import written
 
@@ -137,6 +138,50 @@ def _sets(words_per: int):
     return run
 
 
+SHINGLE = np.dtype([("shingle", "<u8"), ("node", "<u4")])
+MANY = 0xFFFFFFFF
+
+
+def _spread_shingles(groups: int):
+    """Packed (shingle, place of its node) by hash; one that repeats in a slice is sent once, as met by many."""
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                sets = [np.frombuffer(s, np.uint64) for s in part.column("shingles").to_pylist()]
+                rows = np.zeros(sum(map(len, sets)), SHINGLE)
+                rows["shingle"] = np.concatenate(sets)
+                rows["node"] = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+                rows.sort(order="shingle")
+                first = np.flatnonzero(np.append(True, rows["shingle"][1:] != rows["shingle"][:-1])[:len(rows)])
+                n = np.diff(np.append(first, len(rows)))
+                rows = rows[first]
+                rows["node"][n > 1] = MANY
+                group = (rows["shingle"] % np.uint64(groups)).astype(np.int64)
+                order = np.argsort(group, kind="stable")
+                cuts = np.searchsorted(group[order], np.arange(groups + 1))
+                full = np.flatnonzero(np.diff(cuts))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(full, pa.int32()), pa.array([part.column("node").to_pylist()] * len(full), pa.list_(pa.binary())),
+                     pa.array([rows[order[cuts[g]:cuts[g + 1]]].tobytes() for g in full], pa.binary())], names=["group", "nodes", "blob"])
+
+    return run
+
+
+def _single(part: pa.Table) -> pa.Table:
+    """How many shingles of each node no other one has."""
+    nodes, blobs = part.column("nodes").to_pylist(), [np.frombuffer(b, SHINGLE) for b in part.column("blob").to_pylist()]
+    rows = np.concatenate(blobs)
+    home = np.repeat(np.arange(len(blobs)), [len(b) for b in blobs])
+    order = np.argsort(rows["shingle"], kind="stable")
+    s = rows["shingle"][order]
+    edge = np.concatenate([[True], s[1:] != s[:-1], [True]])
+    alone = order[edge[:-1] & edge[1:]]
+    alone = alone[rows["node"][alone] != MANY]
+    where, n = np.unique(np.stack([home[alone], rows["node"][alone].astype(np.int64)]), axis=1, return_counts=True)
+    return pa.table({"node": pa.array([nodes[h][k] for h, k in where.T.tolist()], pa.binary()), "n": pa.array(n, pa.int64())})
+
+
 def _compare(similarity: int):
     def run(batches):
         for batch in batches:
@@ -168,6 +213,7 @@ def near_duplicates(docs: DataFrame, words_per: int = 5, similarity: int = SIMIL
 
     Documents are linked when 100 * intersection >= similarity * union of their shingle sets.
     """
+    groups = shuffle_partitions(docs.sparkSession)
     mark = F.xxhash64(F.col(doc_id), F.col(text)).alias("mark")
     signed = written(docs.select(F.col(doc_id).cast("long").alias("id"), mark, F.col(text).alias("text"))
                      .mapInArrow(_sign(words_per, bands, rows), "id long, mark long, n_shingles long, node binary, buckets array<long>, sketch array<long>"), "signed")
@@ -175,20 +221,26 @@ def near_duplicates(docs: DataFrame, words_per: int = 5, similarity: int = SIMIL
                                                                            F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("size")), "classes")
     each = classes.select("node", F.explode("buckets").alias("bucket"))
     shared = each.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
-    met = written(each.join(shared, "bucket").join(classes.select("node", "size", "sketch"), "node"), "met")
+    met = written(each.join(shared, "bucket"), "met")
     words = -(-bands * rows // 64)
     limit = DIFFERENT * bands * rows // (BANDS * ROWS)
 
     def alike(a: str, b: str):
-        """Whether two columns (node, size, sketch) may be similar."""
+        """Whether two columns (node, size, common, sketch) may be similar."""
         differ = " + ".join(f"bit_count({a}.sketch[{k}] ^ {b}.sketch[{k}])" for k in range(words))
-        return F.expr(f"{a}.node != {b}.node and 100 * least({a}.size, {b}.size) >= {similarity} * greatest({a}.size, {b}.size) and {differ} <= {limit}")
+        common = f"least({a}.common, {b}.common)"
+        return F.expr(f"{a}.node != {b}.node and 100 * {common} >= {similarity} * ({a}.size + {b}.size - {common}) and {differ} <= {limit}")
 
-    which = F.struct("node", "size", "sketch")
+    which = F.struct("node", "size", "common", "sketch")
     nodes = met.select("node").distinct()
     texts = only(docs.select(doc_id, text), classes.join(nodes, "node", "left_semi"), doc_id=doc_id, text=text).select(text)
     sets = written(texts.mapInArrow(_sets(words_per), "node binary, shingles binary").dropDuplicates(["node"]), "sets")
 
+    single = (sets.mapInArrow(_spread_shingles(groups), "group int, nodes array<binary>, blob binary").groupBy("group").applyInArrow(_single, "node binary, n long")
+              .groupBy("node").agg(F.sum("n").alias("n")))
+    facts = nodes.join(classes, "node").join(single, "node", "left").select("node", "size", (F.col("size") - F.coalesce("n", F.lit(0))).alias("common"), "sketch")
+    met = written(met.join(facts, "node"), "met")
+
     def links(pairs: DataFrame, name: str) -> DataFrame:
         pairs = pairs.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         side = {x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab"}
@@ -199,7 +251,7 @@ def near_duplicates(docs: DataFrame, words_per: int = 5, similarity: int = SIMIL
     found = links(first.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "near")
     tied = written(components(found), "tied")
     for k in range(pivot_rounds + 1):
-        wide = met.where("m > 3").select("bucket", "node", "size", "sketch").join(tied, "node", "left").select("bucket", which.alias("x"), F.coalesce("component", "node").alias("part"))
+        wide = met.where("m > 3").select("bucket", "node", "size", "common", "sketch").join(tied, "node", "left").select("bucket", which.alias("x"), F.coalesce("component", "node").alias("part"))
         split = wide.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo != hi").select("bucket")
         open_ = written(wide.join(split, "bucket"), "open")
         n = open_.groupBy("bucket", "part").agg(F.count("*").cast("double").alias("n")).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"))
