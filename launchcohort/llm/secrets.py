@@ -29,7 +29,7 @@ KINDS = ("assign", "access", "hex", "random")
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 LETTERS = "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)])) + "+/_=-"
 SPAN = "struct<start:bigint,end:bigint,rank:int,kind:string,hit:string>"
-THRESHOLD = 1.5
+THRESHOLD = 2.0
 MAX_DOCS = 4000
 
 
@@ -89,8 +89,12 @@ def train(labelled: DataFrame) -> list[float] | None:
         return None
     total = {(k, a): sum(n.get((k, a + b), 0) for b in LETTERS) for k in (0, 1) for a in LETTERS}
 
+    # Pairs that were seldom seen fall back on how common the second letter is.
+    whole = {k: sum(total[k, a] for a in LETTERS) for k in (0, 1)}
+    second = {(k, b): 0.99 * sum(n.get((k, a + b), 0) for a in LETTERS) / whole[k] + 0.01 / len(LETTERS) for k in (0, 1) for b in LETTERS}
+
     def p(k, a, b):
-        return math.log((n.get((k, a + b), 0) + 0.5) / (total[k, a] + 0.5 * len(LETTERS)))
+        return math.log((n.get((k, a + b), 0) + 5 * second[k, b]) / (total[k, a] + 5))
 
     return [p(1, a, b) - p(0, a, b) for a in LETTERS for b in LETTERS]
 
