@@ -29,7 +29,7 @@ KINDS = ("assign", "access", "hex", "random")
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 LETTERS = "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)])) + "+/_=-"
 SPAN = "struct<start:bigint,end:bigint,rank:int,kind:string,hit:string>"
-THRESHOLD = 2.0
+THRESHOLD = 1.5
 MAX_DOCS = 4000
 
 
