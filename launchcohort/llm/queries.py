@@ -61,4 +61,19 @@ def op10_decontamination(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_substring_dedup, op4_token_counts, op5_toxicity, op6_embedding_links, op7_mix_sources, op8_near_duplicates, op9_url_filter, op10_decontamination)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": """
+WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+keyed AS (
+  SELECT doc_id, lines, list_transform(lines, lambda x: translate(
+    trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS keys
+  FROM cut),
+shared AS (
+  SELECT key FROM (SELECT unnest(list_distinct(keys)) AS key FROM keyed) WHERE key <> '' GROUP BY key HAVING count(*) >= 10),
+gone AS (SELECT coalesce(list(key), []) AS gone FROM shared),
+left_over AS (
+  SELECT doc_id, lines, list_transform(list_filter(list_zip(lines, keys), lambda p: NOT list_contains(gone, p[2])), lambda p: p[1]) AS kept FROM keyed, gone)
+SELECT doc_id, len(lines)::BIGINT AS n_lines, (len(lines) - len(kept))::BIGINT AS n_dropped,
+  sha256(coalesce(array_to_string(kept, chr(10)), '')) AS kept_sha256
+FROM left_over""",
+}
