@@ -118,7 +118,9 @@ RUNS = V.PREDICTIONS + f""",
 runs AS (SELECT model AS sample, seed, length(model)::INTEGER AS n_features, {CLASS_METRICS['A']} AS A, {CLASS_METRICS['F1']} AS F1
   FROM (SELECT model, {V.key_hash('id', 7)} % 5 AS seed, {CELLS} FROM predictions GROUP BY ALL)),
 summary AS (SELECT sample, max(n_features) AS n_features, count(*) AS n_runs, avg(A) AS acc_mean, stddev_pop(A) AS acc_std,
-  avg(F1) AS f1_mean, stddev_pop(F1) AS f1_std FROM runs GROUP BY sample)"""
+  avg(F1) AS f1_mean, stddev_pop(F1) AS f1_std,
+  string_agg(round(A * 1000000)::BIGINT::VARCHAR, ',' ORDER BY seed) AS accs,
+  string_agg(round(F1 * 1000000)::BIGINT::VARCHAR, ',' ORDER BY seed) AS f1s FROM runs GROUP BY sample)"""
 
 
 def pair_cells(pairs) -> str:
@@ -367,7 +369,7 @@ LEFT JOIN predictions p ON p.model = m.model AND p.y = c.y AND p.pred = c.pred G
     "a11_class_metrics": over(RATED, "SELECT model, " + ", ".join(r6(c, c) for c in CLASS_METRICS) + " FROM rated"),
     "a12_auc": over(V.PREDICTIONS + AREAS, f"SELECT model, {r6('AUC', 'AUC')} FROM areas"),
     "a13_ablation_summary": over(RUNS, "SELECT sample, n_features, n_runs, " + ", ".join(
-        r6(c, c) for c in ("acc_mean", "acc_std", "f1_mean", "f1_std")) + " FROM summary"),
+        r6(c, c) for c in ("acc_mean", "acc_std", "f1_mean", "f1_std")) + ", accs, f1s FROM summary"),
     "a14_report_deltas": over(RUNS, f"""SELECT sample, {r6('acc_mean', 'acc_mean')},
   {r6("100 * (acc_mean - (SELECT acc_mean FROM summary WHERE sample = 'Logistic'))", 'vs_first')},
   {r6("100 * (acc_mean - (SELECT acc_mean FROM summary WHERE sample = 'R. Forest'))", 'vs_second')} FROM summary"""),

@@ -45,7 +45,7 @@ class Boosting:
 
 @dataclass(frozen=True)
 class Zoo:
-    """Sizes of the other models; `fast()` gives the quick ones."""
+    """Sizes of the other models."""
 
     boosting: Boosting = Boosting()
     forest_trees: int = 200
@@ -54,10 +54,6 @@ class Zoo:
     net_steps: int = 100
     steps: int = 500
 
-    @classmethod
-    def fast(cls) -> Zoo:
-        return cls(Boosting(trees=60), forest_trees=40, net_steps=30, steps=100)
-
     def estimators(self, n_rows: int, n_features: int, seed: int = 42) -> dict[str, Estimator]:
         """Penalties are per mean loss here, so the per-sum penalties are divided by the rows.
 
