@@ -304,6 +304,7 @@ FROM (SELECT 'raw/' || substr(m, 1, 4) || '/dump_' || m || '.zip' AS path, 'dump
 FROM orders JOIN (VALUES (1, 0.5::DOUBLE), (2, 0.8::DOUBLE), (3, 1.0::DOUBLE)) s(snapshot, share)
   ON o_orderkey < floor((SELECT count(*) FROM orders) * share) GROUP BY snapshot""",
     "s10_result_sinks": over(RATED, f"SELECT model, {r6('A', 'A')}, {r6('F1', 'F1')}, {r6('F1', 'F1_json')} FROM rated"),
+    "s11_saved_bundle": over(RANDOM_SPLIT, "SELECT id, y, true AS same_score FROM split WHERE split = 'test'"),
     "p1_json_fields": over(V.RAW, f"""SELECT id, snapshot, {V.json_field('category', 'slug')} AS slug, {V.json_field('category', 'name')} AS category_name,
   {V.json_field('location', 'name')} AS location_name, {V.json_field('location', 'type')} AS location_type FROM raw"""),
     "p2_parent_category": over(_NORMAL_RAW, "SELECT id, snapshot, parent_category FROM normal"),

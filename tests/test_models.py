@@ -146,6 +146,16 @@ def test_bundle_survives_saving(spark, prepared, cohort_df, tmp_path):
     assert two == pytest.approx(one, abs=1e-9)
 
 
+def test_saved_classifier_scores_as_before(spark, prepared, final, cohort_df, tmp_path):
+    folder = str(tmp_path / "whole")
+    experiment.save_bundle(folder, prepared.features, final, source="here")
+    loaded = experiment.load_bundle(spark, folder)
+    assert loaded.facts == {"blocks": features.SAMPLES["S2_nb"], "test_accuracy": final.accuracy, "source": "here"}
+    again = loaded.score(cohort_df).select("id", F.col("score").alias("again"))
+    both = final.predictions.join(again, "id").toPandas()
+    assert len(both) == final.predictions.count() and both["again"].to_numpy() == pytest.approx(both["score"].to_numpy(), abs=1e-9)
+
+
 def test_scenarios(spark, prepared, final):
     rows = spark.createDataFrame([
         (1, "Bade", "Fika lego sunlit sunlit sunlit sunlit", "Craft North", "US", "USD", 5000.0, "2020-03-01", 30, "  ", "Town"),
