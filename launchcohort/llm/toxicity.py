@@ -225,7 +225,8 @@ def train(docs: DataFrame, labels: DataFrame, cost, doc_id: str = "doc_id", text
     telling = (counted.where((F.length("feature") > 0) & (F.col("toxic") >= MIN_TOXIC)).select("feature", sure.alias("sure"))
                .where(F.col("sure") > MIN_ODDS).orderBy(F.desc("sure"), "feature").limit(MAX_FEATURES))
     features = [bytes(r.feature) for r in telling.collect()]
-    rows = sample.mapInArrow(_labelled_features(cost, features), "y int, found array<int>").orderBy("y", "found").collect()
+    # Bounded by `max_labelled`; sorted here, so that the sums do not depend on the order of the rows.
+    rows = sorted(sample.mapInArrow(_labelled_features(cost, features), "y int, found array<int>").collect(), key=lambda r: (r.y, r.found))
     base, weights = logistic([r.found for r in rows], np.array([r.y for r in rows], float), len(features))
     return base, features, weights
 
