@@ -19,11 +19,16 @@ MIN_DF, MAX_DF, ALPHA = 10, 0.35, 1.0
 
 def term_counts(df: DataFrame, text: str = "text", stop_words: tuple[str, ...] | None = None,
                 keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, *keep, term, tf). The texts are spread by id once; counting terms then needs no shuffle."""
-    spread = df.select("id", *keep, text).repartition("id")
+    """(id, *keep, term, tf). Ids are unique, so terms are counted within their row and nothing is shuffled."""
+    ordered = df.select("id", *keep, F.array_sort(tokens(F.col(text), stop_words)).alias("_tokens"))
+    # Where a run of equal tokens ends, counted from 1.
+    last = F.filter(F.sequence(F.lit(1), F.size("_tokens")), lambda i: ~F.get("_tokens", i - 1).eqNullSafe(F.get("_tokens", i)))
+    ends = ordered.withColumn("_ends", F.when(F.size("_tokens") > 0, last))
+    runs = F.transform("_ends", lambda end, k: F.struct(
+        F.get("_tokens", end - 1).alias("term"), (end - F.coalesce(F.get("_ends", k - 1), F.lit(0))).cast("long").alias("tf")))
     # The outer form: the plain one makes Spark split every text twice, to drop empty ones first.
-    terms = spread.select("id", *keep, F.explode_outer(tokens(F.col(text), stop_words)).alias("term"))
-    return terms.filter(F.col("term").isNotNull()).groupBy("id", *keep, "term").agg(F.count("*").alias("tf"))
+    terms = ends.select("id", *keep, F.explode_outer(runs).alias("_run")).select("id", *keep, "_run.term", "_run.tf")
+    return terms.filter(F.col("term").isNotNull())
 
 
 def document_frequency(df: DataFrame, text: str = "text", stop_words: tuple[str, ...] | None = None) -> DataFrame:
