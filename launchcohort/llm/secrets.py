@@ -19,6 +19,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from launchcohort.session import written
+
 # The patterns of the contract, with the least length of what counts. For `access` and
 # `hex` the length is part of the pattern: a shorter match can hide no longer one.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -67,15 +69,19 @@ def joined(found: Column) -> Column:
 def labelled_strings(docs: DataFrame, text: str = "text", max_docs: int = MAX_DOCS) -> DataFrame:
     """(s, random): the values that patterns find, and words of texts in which they find none.
 
-    Of either sort the texts with the smallest hashes serve, at most `max_docs` of them.
+    Of either sort the distinct texts with the smallest hashes serve, at most `max_docs` of them. The
+    hashes are sorted alone; only the texts chosen are shuffled, copies of one after a task has made them one.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     any_ = t.rlike(ASSIGN) | t.contains("AKIA") | t.rlike(HEX)
-    some = docs.select(t.alias("t"), any_.alias("any"))
-    hit = (some.where("any").orderBy(F.xxhash64("t"), "t").limit(max_docs).select(F.explode(base_spans(F.col("t"))).alias("x"))
+    keys = written(docs.select(any_.alias("any"), F.xxhash64(t).alias("key")).distinct(), "text-keys")
+    chosen = keys.where("any").orderBy("key").limit(max_docs).unionByName(keys.where("not any").orderBy("key").limit(max_docs))
+    met = docs.select(t.alias("t"), F.xxhash64(t).alias("key")).join(F.broadcast(chosen), "key")
+    some = written(met.groupBy("any", "key").agg(F.min("t").alias("t")), "labelled-texts")
+    hit = (some.where("any").select(F.explode(base_spans(F.col("t"))).alias("x"))
            .select(F.when(F.col("x.kind") == "assign", F.regexp_extract("x.hit", ASSIGN, 2)).otherwise(F.col("x.hit")).alias("s"), F.lit(1).alias("random")))
-    word = (some.where("not any").orderBy(F.xxhash64("t"), "t").limit(max_docs)
-            .select(F.explode(F.regexp_extract_all("t", F.lit("[A-Za-z0-9+/_=-]{5,}"), F.lit(0))).alias("s")).select("s", F.lit(0).alias("random")))
+    word = (some.where("not any").select(F.explode(F.regexp_extract_all("t", F.lit("[A-Za-z0-9+/_=-]{5,}"), F.lit(0))).alias("s"))
+            .select("s", F.lit(0).alias("random")))
     return hit.unionByName(word)
 
 
