@@ -32,7 +32,7 @@ BOOSTERS = {"of": 0.293, "die": 0.293, "le": 0.293, "in": -0.293, "des": -0.293}
 NEGATORS = ("with", "to", "zu", "un", "not")
 LINEAR = {"m_log_goal": -0.5, "m_duration_days": -0.02, "m_launch_month": 0.03, "m_launch_dow": -0.02,
           "m_blurb_len": 0.004, "m_name_len": 0.01, "m_blurb_words": 0.05, "m_name_words": -0.08}
-SMALL_ZOO = Zoo(Boosting(trees=10, depth=5, bins=64), forest_trees=20, forest_depth=10, net_steps=30, steps=50)
+SMALL_ZOO = Zoo(Boosting(trees=10, depth=5, bins=64), forest_trees=20, forest_depth=10)
 SMALL_GRID = {"depth": [3, 4], "rate": [0.05, 0.1], "trees": [5, 10], "min_rows": [10, 30], "column_share": [0.3, 0.5]}
 MODEL_PAIRS = [(BEST, m) for m in T.PSEUDO_MODELS if m != BEST] + [("Logistic", "Chance")]
 
@@ -667,14 +667,14 @@ def m9(spark, sf_dir):
 
 @query("m10_text_ablation")
 def m10(spark, sf_dir):
-    return experiment.run_ablation(prepared(spark, sf_dir), Boosting(trees=5, depth=4, bins=32), seeds=2)[1]
+    return experiment.run_ablation(prepared(spark, sf_dir), Boosting(trees=5, depth=4, bins=32))[1]
 
 
 @query("m11_random_search")
 def m11(spark, sf_dir):
     p = prepared(spark, sf_dir)
     train = models.assembled(p.train, p.features.columns_for(["meta", "nb"]))
-    return models.search_boosting(train, Boosting(bins=32), SMALL_GRID, draws=3)[1]
+    return models.search_boosting(train, Boosting(bins=32), SMALL_GRID)[1]
 
 
 @query("m12_final_model")
@@ -718,8 +718,8 @@ def g4(spark, sf_dir):
 @query("g4_study_comparisons")
 def g4_study(spark, sf_dir):
     """The planned comparisons of the fitted feature samples and models."""
-    zoo = Zoo(Boosting(trees=5, depth=4, bins=32), forest_trees=10, forest_depth=8, net_steps=20, steps=30)
-    return experiment.run_significance(prepared(spark, sf_dir), zoo, resamples=500)
+    zoo = Zoo(Boosting(trees=5, depth=4, bins=32), forest_trees=10, forest_depth=8)
+    return experiment.run_significance(prepared(spark, sf_dir), zoo)
 
 
 # ---------------------------------------------------------------- scenarios
