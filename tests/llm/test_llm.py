@@ -219,6 +219,54 @@ def test_leaks(spark, docs, none):
     assert decontamination.contaminated(none, b).count() == 0 and decontamination.contaminated(d, b.where("item_id > 9")).count() == 0
 
 
+def test_leaks_of_unequal_frequency(spark):
+    r = random.Random(8)
+    item = [r.choice(WORDS) for _ in range(30)]
+    edited = [w if k % 6 else "changed" for k, w in enumerate(item)]
+    rows = [(0, text(20, 1) + " " + " ".join(item) + " " + text(20, 2))]
+    rows += [(k, text(20, 100 + k) + " " + " ".join(edited) + " " + text(20, 200 + k)) for k in range(1, 41)]
+    d, b = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert {x.id for x in decontamination.contaminated(d, b).collect()} == set(range(41))
+
+
+def plain_score(item, doc):
+    best, row = 0, [0] * (len(doc) + 1)
+    for w in item:
+        new = [0]
+        for k, v in enumerate(doc):
+            new.append(max(0, row[k] + (2 if v == w else -1), row[k + 1] - 1, new[k] - 1))
+        row, best = new, max(best, *new)
+    return best / (2 * len(item))
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.7, 1.0])
+def test_leaks_against_plain_alignment(spark, monkeypatch, threshold):
+    r = random.Random(9)
+    few = WORDS[:60]
+    items = [[r.choice(few) for _ in range(r.randint(8, 40))] for _ in range(12)]
+    docs = []
+    for k in range(90):
+        copy = [x for w in items[k % 12] for x in r.choice([[w]] * (1 + k % 9) + [[], [r.choice(few)], [w, r.choice(few)]])]
+        docs.append([r.choice(few) for _ in range(r.randint(0, 60))] + copy + [r.choice(few) for _ in range(r.randint(0, 60))])
+    want = {(d, i): s for d, x in enumerate(docs) for i, item in enumerate(items) if (s := plain_score(item, x)) >= threshold}
+    d = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(docs)], "doc_id long, text string")
+    b = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    for item_words in (1 << 20, 100):
+        assert {(x.id, x.item): x.score for x in decontamination.contaminated(d, b, threshold=threshold, item_words=item_words).collect()} == want
+    assert want or threshold == 1.0
+    # Few hits at a time give the same passages' scores.
+    words, outer = decontamination.word_hashes([" ".join(x).encode() for x in docs])
+    group = decontamination.Items(None, [decontamination.word_hashes([" ".join(x).encode()])[0] for x in items], threshold)
+    group.seed(np.ones(len(group.vocabulary)))
+    monkeypatch.setattr(decontamination, "HITS", 50)
+    best = {}
+    for item, lo, hi in group.passages(group.numbers(words), outer):
+        for i, a, s in zip(item.tolist(), lo.tolist(), group.scores(group.numbers(words), item, lo, hi, {})[:, 0] / (2 * group.size[item])):
+            at = int(np.searchsorted(outer, a, "right")) - 1, i
+            best[at] = max(best.get(at, 0), s)
+    assert {k: s for k, s in best.items() if s >= threshold} == want
+
+
 def test_pipeline_keeps_columns(spark, tmp_path):
     rows = [(i, t, "en", s, n) for i, t, s, n, *_ in ROWS]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
