@@ -229,6 +229,17 @@ def test_leaks_of_unequal_frequency(spark):
     assert {x.id for x in decontamination.contaminated(d, b).collect()} == set(range(41))
 
 
+def test_leaks_without_three_equal_words_in_a_row(spark):
+    r = random.Random(12)
+    item = r.sample(WORDS, 29)
+    put_in = " ".join(w + " more" * (k % 2) for k, w in enumerate(item))
+    replaced = " ".join(w if k % 3 != 2 else "other" for k, w in enumerate(item))
+    d = spark.createDataFrame([(1, text(30, 1) + put_in + " " + text(30, 2)), (2, text(30, 3) + replaced + " " + text(30, 4)), (3, text(90, 5))], "doc_id long, text string")
+    b = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {x.id: x.score for x in decontamination.contaminated(d, b).collect()}
+    assert set(got) == {1, 2} and got[1] > 0.7 and 0.5 < got[2] < 0.6
+
+
 def plain_score(item, doc):
     best, row = 0, [0] * (len(doc) + 1)
     for w in item:
