@@ -12,8 +12,8 @@ task meets again are aligned once. Items are broadcast with their seeds, in grou
 `ITEM_WORDS` words; each further group is another pass over the documents.
 
 Defined results: words are runs of letters, digits and bytes beyond ASCII, A-Z lower-cased; null texts
-have none; items shorter than `min_words` cannot be told from chance and match nothing; items of equal
-words are reported each; of equally good alignments the one that ends first counts; rows that repeat
+have none; items shorter than `min_words` are found where all their words stand in a row, items
+without words nowhere; items of equal words are reported each; of equally good alignments the one that ends first counts; rows that repeat
 doc_id and text are one document.
 """
 
@@ -76,12 +76,12 @@ def padded(parts: list[np.ndarray], fill: int) -> np.ndarray:
 class Items:
     """A group of items; their words are numbered by `vocabulary`."""
 
-    def __init__(self, ids: pa.Array, words: list[np.ndarray], threshold: float):
+    def __init__(self, ids: pa.Array, words: list[np.ndarray], threshold: float, min_words: int = MIN_WORDS):
         self.ids, self.size = ids, np.array([len(w) for w in words], np.int64)
         self.outer = np.concatenate([[0], np.cumsum(self.size)])
         self.vocabulary, flat = np.unique(np.concatenate(words), return_inverse=True)
         self.flat = flat.astype(np.int32)
-        self.share = np.full(len(words), threshold)
+        self.share = np.where(self.size < min_words, 1.0, threshold)
         # An alignment of `need` matches, or all words, can afford MATCH * (size - need) other words, each at a cost of at least 1.
         self.need = np.maximum(1, np.ceil(self.share * self.size - 1e-9)).astype(np.int64)
         self.reach = self.size + np.maximum(0, np.floor(MATCH * (1 - self.share) * self.size + 1e-9)).astype(np.int64)
@@ -160,14 +160,11 @@ class Items:
         return out
 
 
-def _item_rows(min_words: int):
-    def run(batches):
-        for batch in batches:
-            words = [word_hashes([t.translate(WORD_BYTES)])[0] for t in byte_texts(batch.column(1))]
-            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array([w.tobytes() for w in words], pa.binary())], names=["item", "words"])
-            yield out.filter(pa.array([len(w) >= min_words for w in words], pa.bool_()))
-
-    return run
+def _item_rows(batches):
+    for batch in batches:
+        words = [word_hashes([t.translate(WORD_BYTES)])[0] for t in byte_texts(batch.column(1))]
+        out = pa.RecordBatch.from_arrays([batch.column(0), pa.array([w.tobytes() for w in words], pa.binary())], names=["item", "words"])
+        yield out.filter(pa.array([len(w) > 0 for w in words], pa.bool_()))
 
 
 def _counts(items):
@@ -217,14 +214,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     word of the document at which it ends. `mark` tells texts under one id apart."""
     spark = docs.sparkSession
     kind = benchmark.schema[item_id].dataType.simpleString()
-    items = written(benchmark.select(F.col(item_id).alias("item"), F.col(item_text).alias("text")).mapInArrow(_item_rows(max(1, min_words)), f"item {kind}, words binary"), "items")
+    items = written(benchmark.select(F.col(item_id).alias("item"), F.col(item_text).alias("text")).mapInArrow(_item_rows, f"item {kind}, words binary"), "items")
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("mark"), F.col(text).alias("text"))
     found, groups = [], -(-(items.agg(F.sum(F.length("words"))).first()[0] or 0) // (8 * item_words))
     for k in range(groups):
         some = items.where(F.pmod(F.xxhash64("item", "words"), F.lit(groups)) == k).toArrow().combine_chunks()
         if not some.num_rows:
             continue
-        group = Items(pa.array(some["item"].to_pylist(), some["item"].type), [np.frombuffer(w, np.uint64) for w in some["words"].to_pylist()], threshold)
+        group = Items(pa.array(some["item"].to_pylist(), some["item"].type), [np.frombuffer(w, np.uint64) for w in some["words"].to_pylist()], threshold, min_words)
         # As many rows as the group's items have words, at most.
         counted = rows.select("text").mapInArrow(_counts(spark.sparkContext.broadcast(group)), "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
         frequency = np.zeros(len(group.vocabulary), np.int64)

@@ -229,6 +229,13 @@ def test_leaks_of_unequal_frequency(spark):
     assert {x.id for x in decontamination.contaminated(d, b).collect()} == set(range(41))
 
 
+def test_leaks_of_short_items(spark):
+    d = spark.createDataFrame([(1, "Which river, is LONGEST? the Nile"), (2, "which river is the longest"), (3, "nile"), (4, "which river is longest"), (5, None)], "doc_id long, text string")
+    b = spark.createDataFrame([(1, "Which river is longest?"), (2, "Nile."), (3, "?"), (4, "")], "item_id long, text string")
+    got = {(x.id, x.item, x.score, x.end) for x in decontamination.contaminated(d, b).collect()}
+    assert got == {(1, 1, 1.0, 4), (4, 1, 1.0, 4), (1, 2, 1.0, 6), (3, 2, 1.0, 1)}
+
+
 def test_leaks_without_three_equal_words_in_a_row(spark):
     r = random.Random(12)
     item = r.sample(WORDS, 29)
