@@ -7,9 +7,9 @@ words, so that all draws together are a multivariate one, the quotas of a source
 its rest exactly and none exceeds its block. In its block, documents come in the order of their
 hashes until the quota is used; the last one is taken in part. A shard's rows come in a random order.
 
-Draws come from hashes of source, node and seed, so reruns agree. A draw over a narrow range is made
-by its exact probabilities, over a wide one by the normal approximation, rounded and kept within the
-range. Everything is built-in functions. Tables that are joined have a row per source, node or block;
+Draws come from hashes of source, node and seed, so reruns agree. Every draw is made by its exact
+probabilities, over a wide range summed between bounds (Bernstein's) that it leaves with less than
+2 * exp(-40), which is below what a number of 53 bits can tell. Everything is built-in functions. Tables that are joined have a row per source, node or block;
 a block holds about `DOCS_PER_BLOCK` documents whatever a source's share, and sums are made before
 each shuffle. Only two numbers reach the driver: the count of the largest source and so the depth.
 
@@ -73,10 +73,15 @@ def hypergeometric() -> str:
     pick = f"""aggregate(w, named_struct('left', {uniform(1)} * aggregate(w, 0D, (a, x) -> a + x), 'k', lo),
         (s, x) -> named_struct('left', s.left - x, 'k', if(s.left > x, least(s.k + 1, hi), s.k)), s -> s.k)"""
     exact = f"aggregate(array({logs}), lo, (_, l) -> aggregate(array(transform(l, x -> exp(x - array_max(l)))), lo, (__, w) -> {pick}))"
+    # Over a wide range no list is kept: probabilities of from, from + 1, ... relative to the first's are summed, then run through again up to the draw.
     mean, all_ = "double(q) * n / (n + m)", "double(n + m)"
-    spread = f"sqrt({mean} * (m / {all_}) * ({all_} - q) / greatest({all_} - 1, 1))"
-    normal = f"sqrt(-2 * ln({uniform(1)})) * cos(2 * pi() * {uniform(2)})"
-    wide = f"greatest(lo, least(hi, bigint(round({mean} + {spread} * {normal}))))"
+    variance = f"({mean} * (m / {all_}) * ({all_} - q) / greatest({all_} - 1, 1))"
+    off = f"(27 + 9 * sqrt({variance}))"
+    steps = f"sequence(greatest(lo, bigint(floor({mean} - {off}))), least(hi, bigint(ceil({mean} + {off}))))"
+    next_ = "s.w * ((n - k) * double(q - k)) / ((k + 1D) * (m - q + k + 1D))"
+    sum_ = f"aggregate(at, named_struct('w', 1D, 'sum', 0D), (s, k) -> named_struct('w', {next_}, 'sum', s.sum + s.w), s -> s.sum)"
+    wide = f"""aggregate(array({steps}), lo, (_, at) -> aggregate(at, named_struct('w', 1D, 'left', {uniform(1)} * {sum_}, 'k', at[0]),
+        (s, k) -> named_struct('w', {next_}, 'left', s.left - s.w, 'k', if(s.left > s.w, least(k + 1, at[size(at) - 1]), s.k)), s -> s.k))"""
     return f"case when hi <= lo then lo when hi - lo <= {EXACT_RANGE} then {exact} else {wide} end"
 
 

@@ -163,6 +163,24 @@ def test_mix(docs, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_wide_draws_are_hypergeometric(spark):
+    rows = [("s", k, q, n, m, 7) for k in range(60) for q, n, m in [(60, 100, 900), (40, 5000, 35), (2000, 70, 9000), (900, 1000, 1000), (50_000, 300_000, 100_000)]]
+    d = spark.createDataFrame(rows, "source_key string, node long, q long, n long, m long, seed int").selectExpr("*", "greatest(0, q - m) as lo", "least(q, n) as hi")
+    got = d.selectExpr("q", "n", "m", f"{mixing.uniform(1)} as u", f"{mixing.hypergeometric()} as k").collect()
+    assert len(got) == len(rows)
+    cdf = {}
+    for x in got:
+        if (x.q, x.n, x.m) not in cdf:
+            k = np.arange(max(0, x.q - x.m), min(x.q, x.n) + 1)
+            f = np.concatenate([[0], np.cumsum(np.log(np.arange(1, x.n + x.m + 1)))])
+            p = f[x.n] - f[k] - f[x.n - k] + f[x.m] - f[x.q - k] - f[x.m - x.q + k]
+            p = np.cumsum(np.exp(p - p.max()))
+            cdf[x.q, x.n, x.m] = k[0], p / p[-1]
+        lo, p = cdf[x.q, x.n, x.m]
+        # The number's place among the sums, but for their rounding.
+        assert lo + np.searchsorted(p, x.u - 1e-6) <= x.k <= lo + np.searchsorted(p, x.u + 1e-6)
+
+
 def test_near_duplicates(docs, none):
     for words_per in (2, 5):
         s = {}
