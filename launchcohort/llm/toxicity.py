@@ -12,7 +12,8 @@ first), on the features whose log-odds there are clearly above zero (`MAX_FEATUR
 Texts are read where they are; only sums per task, labelled ids and word counts are shuffled.
 
 Defined results: null and empty texts get the score of a text without any telling word; a label that
-is null says nothing; a document labelled twice counts as toxic if one label says so; without
+is null says nothing; a document labelled twice counts as toxic if one label says so; labelled rows
+that repeat doc_id and text are learned from once; without
 labels of both sorts every score is 0. Label, language, source and id are no inputs of a score.
 """
 
@@ -213,8 +214,13 @@ def train(docs: DataFrame, labels: DataFrame, cost, doc_id: str = "doc_id", text
     """The intercept, the telling features and their weights."""
     known = (labels.select(F.col(doc_id).alias("_id"), F.col(label).alias("_y")).where("_id is not null and _y is not null").where(~held_out(F.col("_id")))
              .groupBy("_id").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(max_labelled))
+    # Rows that repeat id and text are one; ids may repeat with other texts, so those are bounded as well.
+    met = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(known), "_id")
+    keys = written(met.select("_id", "_key").distinct(), "labelled-keys")
+    if keys.count() > max_labelled:
+        keys = keys.orderBy(F.xxhash64("_id", "_key"), "_id", "_key").limit(max_labelled)
     # As many labelled texts as the bound allows; both steps read them from here.
-    sample = written(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(known), "_id").select("_text", "_y"), "labelled")
+    sample = written(met.join(F.broadcast(keys), ["_id", "_key"]).groupBy("_id", "_key").agg(F.min("_text").alias("_text"), F.first("_y").alias("_y")).select("_text", "_y"), "labelled")
     counted = written(sample.mapInArrow(_feature_counts(cost), "feature binary, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "features")
     n = counted.where(F.length("feature") == 0).first()
     if not n or not n.toxic or not n.clean:

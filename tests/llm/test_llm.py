@@ -122,6 +122,22 @@ def test_toxicity(spark, none):
     assert {r.score for r in toxicity.toxicity(d, y.where("toxic > 5")).select("score").collect()} == {0.0}
 
 
+def test_toxicity_learns_from_repeats_once(spark, monkeypatch):
+    clean = [(k, text(40, k + 5000)) for k in range(100)]
+    bad = [(1000 + k, text(20, k) + " grumbler " + text(20, k + 1)) for k in range(40)]
+    d, y = spark.createDataFrame(clean + bad, "doc_id long, text string"), spark.createDataFrame([(i, int(i >= 1000)) for i, _ in clean + bad], "doc_id long, toxic int")
+    one = next(t for i, t in bad if not spark.range(1).select(toxicity.held_out(F.lit(i))).first()[0])
+    again = d.unionByName(d.crossJoin(spark.range(50)).where(F.col("text") == one).select("doc_id", "text"))
+    # One id with many texts of its own is bounded too.
+    many = d.unionByName(spark.range(400).select(F.lit(next(i for i, t in bad if t == one)).alias("doc_id"), F.concat(F.lit("text number "), F.col("id")).alias("text")))
+    cost, seen, fit = spark.sparkContext.broadcast(toxicity.letter_model(d)), [], toxicity.logistic
+    monkeypatch.setattr(toxicity, "logistic", lambda found, *a: seen.append(len(found)) or fit(found, *a))
+    a, b = toxicity.train(d, y, cost), toxicity.train(again, y, cost)
+    assert a[:2] == b[:2] and np.array_equal(a[2], b[2]) and seen[0] == seen[1]
+    toxicity.train(many, y, cost, max_labelled=150)
+    assert seen[2] <= 150
+
+
 def test_cover_join(spark, monkeypatch):
     monkeypatch.setattr(cover_join, "CELL", 40)
     r = np.random.default_rng(3)
