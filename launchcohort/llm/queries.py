@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from launchcohort.llm import cover_join, decontamination, line_dedup, minhash, mixing, secrets, substring_dedup, token_counts, toxicity, url_filter
+from launchcohort.llm import (cover_join, decontamination, hard_negatives, line_dedup, minhash, mixing, quality_rules, secrets, spelling, substring_dedup,
+                              token_counts, toxicity, url_filter)
 from launchcohort.llm.common import table
 
 
@@ -60,7 +61,23 @@ def op10_decontamination(spark, sf_dir):
     return out.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "score", F.col("end").alias("end_word"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_substring_dedup, op4_token_counts, op5_toxicity, op6_embedding_links, op7_mix_sources, op8_near_duplicates, op9_url_filter, op10_decontamination)}
+def op11_spelling_variants(spark, sf_dir):
+    out = spelling.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_quality_rules(spark, sf_dir):
+    out = quality_rules.quality(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return out.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op13_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)").alias("label"), "embedding")
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0, id="vec_id", vector="embedding")
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_substring_dedup, op4_token_counts, op5_toxicity, op6_embedding_links, op7_mix_sources, op8_near_duplicates, op9_url_filter, op10_decontamination,
+                                op11_spelling_variants, op12_quality_rules, op13_hard_negatives)}
 ORACLES: dict[str, str] = {
     "op1_line_dedup": """
 WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
