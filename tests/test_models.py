@@ -3,11 +3,14 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from launchcohort.functions.scalars import epoch_of
 from launchcohort.operators import contributions, encoders, metrics, models, scenarios
 from launchcohort.operators.models import BEST, Boosting, Zoo
+from launchcohort.operators.splits import fold_of
 from launchcohort.plans import experiment, features
 from launchcohort.session import written
 
@@ -90,6 +93,27 @@ def test_linear_models_have_their_closed_forms(spark):
     assert scored["score"].between(0, 1).all() and ((scored["score"] >= 0.5) == (scored["pred"] == 1)).all()
 
 
+def test_net_stops_on_rows_held_apart(spark):
+    """Few rows, many columns of noise: further steps only learn the rows by heart."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 40))
+    y = (x[:, 0] + rng.normal(size=300) * 1.5 > 0).astype(int)
+    rows = [(i, int(b), Vectors.dense(v)) for i, (b, v) in enumerate(zip(y, x))]
+    df = models.balanced(spark.createDataFrame(rows, ["id", "y", "features"]))
+    net = Zoo(net_steps=200).estimators(300, 40)["Neural Net"]
+    stopped = net.getStages()[-1]
+    fitted = models.fit_model(net, df)
+    losses = stopped.losses
+    assert 2 < len(losses) < 40 and min(losses) < losses[-1]
+    # The model is the best round's, not the last one's.
+    scaled = fitted.transform(models.repeated_by_weight(df)).where(fold_of(F.col("id"), 10, 45) == 0)
+    right = F.get(vector_to_array("probability"), F.col("y").cast("int"))
+    assert scaled.agg(F.avg(-F.log(right))).first()[0] == pytest.approx(min(losses), rel=1e-6)
+    # Ten rows or fewer: nothing to hold apart, the steps run as they are.
+    few = models.fit_model(Zoo(net_steps=10).estimators(3, 40)["Neural Net"], df.where("id in (1, 2, 3)"))
+    assert few.transform(df).count() == 300
+
+
 def brute_shapley(tree_leaves, x):
     used = sorted({f for leaf in tree_leaves for f in leaf.features})
 
@@ -125,6 +149,23 @@ def test_contributions_are_shapley_values_and_add_up(spark, prepared, final):
         assert values == pytest.approx(brute_shapley(one, x), abs=1e-10)
 
 
+def test_contributions_of_deep_paths():
+    """More patterns than rows, and more features than a number has bits."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(6, 70))
+    made = []
+    for m in (1, 9, 11):
+        f = np.sort(rng.choice(70, m, replace=False))
+        made.append(contributions.Leaf(float(rng.normal()), f, np.full(m, -1.0), np.full(m, 0.8), rng.uniform(0.2, 0.9, m)))
+    for row, values in zip(x, contributions.shapley(made, x)):
+        want = sum(brute_shapley([leaf], row) for leaf in made)
+        assert values == pytest.approx(want, abs=1e-10)
+    wide = contributions.Leaf(2.0, np.arange(70), np.full(70, -9.0), np.where(np.arange(70) % 2, 9.0, -8.0), np.full(70, 0.97))
+    values = contributions.shapley([wide], x)
+    # Features that agree get equal shares, and so do those that do not; together they are what the leaf gives less its mean.
+    assert np.ptp(values[:, 1::2]) < 1e-12 and values.sum(axis=1) == pytest.approx(-2.0 * 0.97 ** 70)
+
+
 def test_top_contributions(spark):
     df = spark.createDataFrame([(1, [0.5, -2.0, 1.0])], "id bigint, contributions array<double>")
     got = contributions.top_contributions(df, ["a", "b", "c"], 2).orderBy("place").collect()
@@ -164,7 +205,7 @@ def test_scenarios(spark, prepared, final):
        "days int, location string, location_type string")
     ready = written(scenarios.cohort_rows(rows, prepared.features.cat_parent, prepared.features.currency_rate), "plans")
     one, two = ready.orderBy("id").collect()
-    assert one["location"] == "unknown" and one["parent_category"] == "games" and one["launched_at"] == epoch_of("2020-03-01") + 43200
+    assert one["location"] == "unknown" and one["parent_category"] == "craft" and one["launched_at"] == epoch_of("2020-03-01") + 43200
     assert one["deadline"] - one["launched_at"] == 30 * 86400 and two["usd_rate"] == 1.0
     rungs = written(scenarios.ladder(ready), "rungs")
     assert rungs.count() == 14 and rungs.select("id").distinct().count() == 14
