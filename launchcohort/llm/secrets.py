@@ -3,20 +3,22 @@
 Patterns first: a text is split at a pattern, and running lengths of what lies between the matches
 and of these give their places. Then a Markov model of random strings and one of ordinary
 identifiers, both over neighbouring characters, score every further candidate by the logarithm of
-their likelihood ratio, a mean per character. They are trained from labelled strings: what the
-patterns find is random, words of texts without any are ordinary; any other labelled table will do.
+their likelihood ratio, a mean per character that short candidates must pass by more. They are trained
+from labelled strings: drawn ones of the usual alphabets are random, words that several texts share are
+ordinary; any other labelled table will do.
 Everything is built-in functions; only the table of pairs (one per pair of letters) reaches the driver.
 
 Defined results: null is an empty text without secrets; places are code points, end exclusive; a
-pattern's match is found leftmost and without overlap, then dropped if too short; a candidate that
-overlaps a pattern's match is not scored; without labelled strings of both sorts nothing is added.
+pattern's match is found leftmost and without overlap, then dropped if too short; of a candidate that
+overlaps pattern matches the parts beside them are scored; candidates have 12 characters or more; without
+labelled strings of both sorts nothing is added; repeated rows have equal results.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from launchcohort.session import written
@@ -28,11 +30,13 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "random")
 
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+LEAST = 12
+CANDIDATE = r"[A-Za-z0-9+/_=-]{%d,}" % LEAST
 LETTERS = "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)])) + "+/_=-"
 SPAN = "struct<start:bigint,end:bigint,rank:int,kind:string,hit:string>"
-THRESHOLD = 1.5
-MAX_DOCS = 4000
+# A candidate's mean score must pass MEAN, and its sum TOTAL, which asks more of short ones.
+MEAN, TOTAL = 0.4, 9.0
+MAX_DOCS, SHARED_BY, DRAWN = 4000, 3, 2000
 
 
 def _no_spans() -> Column:
@@ -66,23 +70,37 @@ def joined(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def labelled_strings(docs: DataFrame, text: str = "text", max_docs: int = MAX_DOCS) -> DataFrame:
-    """(s, random): the values that patterns find, and words of texts in which they find none.
+def drawn_strings(spark: SparkSession, count: int = DRAWN) -> DataFrame:
+    """(s, random): strings drawn from the alphabets that keys are written in, made of hashes of numbers.
+
+    Base 64, its form for urls, letters and digits, small and capital letters with digits, small letters, hexadecimal.
+    """
+    plain = F.regexp_replace("b", "[+/=]", "")
+    kinds = [F.col("b"), F.translate("b", "+/=", "-_"), plain, F.lower(plain), F.upper(plain), F.regexp_replace(F.lower("b"), "[^a-z]", ""), F.sha2(F.col("id").cast("string"), 256)]
+    made = spark.range(count).select("id", F.base64(F.unhex(F.sha2(F.concat(F.lit("drawn "), F.col("id")), 256))).alias("b"))
+    return made.select(F.explode(F.array(*kinds)).alias("s"), F.lit(1).alias("random"))
 
-    Of either sort the distinct texts with the smallest hashes serve, at most `max_docs` of them. The
-    hashes are sorted alone; only the texts chosen are shuffled, copies of one after a task has made them one.
+
+def ordinary_strings(docs: DataFrame, text: str = "text", max_docs: int = MAX_DOCS, shared_by: int = SHARED_BY) -> DataFrame:
+    """(s, random): words that several texts share, each once, so that a secret met once teaches nothing.
+
+    Of the distinct texts without a pattern's match the `max_docs` with the smallest hashes serve. The hashes
+    are sorted alone; only the texts chosen are shuffled, copies of one after a task has made them one.
     """
     t = F.coalesce(F.col(text), F.lit(""))
-    any_ = t.rlike(ASSIGN) | t.contains("AKIA") | t.rlike(HEX)
-    keys = written(docs.select(any_.alias("any"), F.xxhash64(t).alias("key")).distinct(), "text-keys")
-    chosen = keys.where("any").orderBy("key").limit(max_docs).unionByName(keys.where("not any").orderBy("key").limit(max_docs))
-    met = docs.select(t.alias("t"), F.xxhash64(t).alias("key")).join(F.broadcast(chosen), "key")
-    some = written(met.groupBy("any", "key").agg(F.min("t").alias("t")), "labelled-texts")
-    hit = (some.where("any").select(F.explode(base_spans(F.col("t"))).alias("x"))
-           .select(F.when(F.col("x.kind") == "assign", F.regexp_extract("x.hit", ASSIGN, 2)).otherwise(F.col("x.hit")).alias("s"), F.lit(1).alias("random")))
-    word = (some.where("not any").select(F.explode(F.regexp_extract_all("t", F.lit("[A-Za-z0-9+/_=-]{5,}"), F.lit(0))).alias("s"))
-            .select("s", F.lit(0).alias("random")))
-    return hit.unionByName(word)
+    none = ~(t.rlike(ASSIGN) | t.contains("AKIA") | t.rlike(HEX))
+    keys = written(docs.where(none).select(F.xxhash64(t).alias("key")).distinct(), "text-keys")
+    met = docs.select(t.alias("t"), F.xxhash64(t).alias("key")).join(F.broadcast(keys.orderBy("key").limit(max_docs)), "key")
+    some = written(met.groupBy("key").agg(F.min("t").alias("t")), "labelled-texts")
+    words = some.select(F.explode(F.array_distinct(F.regexp_extract_all("t", F.lit("[A-Za-z0-9+/_=-]{5,}"), F.lit(0)))).alias("s"))
+    known = words.groupBy("s").count().where(F.col("count") >= shared_by)
+    # A word in capitals is as ordinary as the word.
+    return known.select(F.explode(F.array_distinct(F.array("s", F.upper("s"), F.initcap("s")))).alias("s"), F.lit(0).alias("random"))
+
+
+def labelled_strings(docs: DataFrame, text: str = "text", max_docs: int = MAX_DOCS) -> DataFrame:
+    """(s, random): drawn strings, and words of the texts."""
+    return drawn_strings(docs.sparkSession).unionByName(ordinary_strings(docs, text, max_docs))
 
 
 def train(labelled: DataFrame) -> list[float] | None:
@@ -112,7 +130,20 @@ def likelihood_ratio(s: str, scores: str = "scores") -> str:
         / (length({s}) - 1))"""
 
 
-def secret_spans(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def beside(text: str, more: str = "more", base: str = "base") -> str:
+    """SQL for the parts of the candidates that lie outside all pattern spans and are long enough, as spans of `text`."""
+    def part(start, end):
+        one = f"named_struct('start', {start}, 'end', {end}, 'rank', {KINDS.index('random')}, 'kind', 'random', 'hit', substring({text}, int({start}) + 1, int({end} - {start})))"
+        return f"if({end} - {start} >= {LEAST}, array({one}), cast(array() as array<{SPAN}>))"
+
+    over = f"filter({base}, y -> x.start < y.end and y.start < x.end)"
+    cut = f"""aggregate({over}, named_struct('at', x.start, 'out', cast(array() as array<{SPAN}>)),
+        (s, y) -> named_struct('at', greatest(s.at, y.end), 'out', concat(s.out, {part('s.at', 'y.start')})),
+        s -> concat(s.out, {part('s.at', 'x.end')}))"""
+    return f"flatten(transform({more}, x -> if(exists({base}, y -> x.start < y.end and y.start < x.end), {cut}, array(x))))"
+
+
+def secret_spans(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text", mean: float = MEAN, total: float = TOTAL) -> DataFrame:
     """`row` (a struct of all input columns but the text), and arrays of spans: `base` of the patterns, `spans` of all."""
     model = train(labelled_strings(docs, text) if labelled is None else labelled)
     t = F.col("t")
@@ -123,8 +154,7 @@ def secret_spans(docs: DataFrame, labelled: DataFrame | None = None, text: str =
     # One row with the model, of a fixed size.
     scores = docs.sparkSession.createDataFrame([(model,)], "scores array<double>")
     more = F.when(t.rlike(CANDIDATE), spans(t, CANDIDATE, "random")).otherwise(_no_spans())
-    rows = rows.select("row", "base", more.alias("more")).join(F.broadcast(scores))
-    free = F.filter("more", lambda x: ~F.exists("base", lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"])))
-    rows = rows.select("row", "base", "scores", free.alias("more"))
-    found = F.expr("filter(more, x -> " + likelihood_ratio("x.hit") + f" > {threshold})")
+    rows = rows.select("row", "t", "base", more.alias("more"))
+    rows = rows.select("row", "base", F.expr(f"if(size(base) = 0, more, {beside('t')})").alias("more")).join(F.broadcast(scores))
+    found = F.expr(f"filter(more, x -> {likelihood_ratio('x.hit')} > greatest({mean}D, {total}D / (length(x.hit) - 1)))")
     return rows.select("row", "base", F.array_sort(F.concat("base", found)).alias("spans"))

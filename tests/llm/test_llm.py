@@ -98,6 +98,47 @@ def test_secrets(spark, none):
     assert secrets.secret_spans(none).count() == 0
 
 
+def plain_ratio(model, s):
+    at = {c: k for k, c in enumerate(secrets.LETTERS)}
+    return sum(model[len(secrets.LETTERS) * at[a] + at[b]] for a, b in zip(s, s[1:])) / (len(s) - 1)
+
+
+def test_secrets_of_the_models_own_labels(spark):
+    """Strings drawn from several alphabets, put into given texts whose model is trained on those very texts."""
+    r = random.Random(8)
+    alphabets = [secrets.LETTERS[:62], "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz0123456789", secrets.LETTERS[:64]]
+    texts = [(d.doc_id, d.text or "") for d in queries.table(spark, "/root/testdata/sf0.001", "documents").collect()]
+    drawn = {}
+    for k in range(160):
+        s = "".join(r.choice(alphabets[k % 4]) for _ in range((12, 16, 20, 24, 32)[k % 5]))
+        i = k % len(texts)
+        texts[i] = (texts[i][0], f"{texts[i][1]} {s} end")
+        drawn[s] = len(s)
+    texts += [(90_000, "zX8kQ2vLr9TpW4mYb7Nc deadbeefdeadbeef01/qT7vXz2LpR8wKc4M end"), (90_001, "word " * 50_000 + "qT7vXz2LpR8wKc4M"), texts[0]]
+    d = spark.createDataFrame([(i, t, "x", 1) for i, t in texts], "doc_id long, text string, spans string, base int")
+    out = secrets.secret_spans(d).select("row.doc_id", "row.base", F.col("spans").alias("found")).collect()
+    got = [x.hit for row in out for x in row.found if x.kind == "random"]
+    long = [s for s, n in drawn.items() if n >= 20]
+    assert sum(s in got for s in long) >= 0.9 * len(long) and sum(s in got for s in drawn) >= 0.8 * len(drawn)
+    mine = {*drawn, "zX8kQ2vLr9TpW4mYb7Nc", "qT7vXz2LpR8wKc4M", "/qT7vXz2LpR8wKc4M"}
+    words = sum(len(t.split()) for _, t in texts)
+    assert sum(s not in mine for s in got) <= words * 50 / 1e6
+    by_id = {row.doc_id: [(x.kind, x.start, x.end) for x in row.found] for row in out}
+    # What lies beside a pattern's match inside a longer candidate is scored too.
+    assert by_id[90_000] == [("random", 0, 20), ("hex", 21, 39), ("random", 39, 56)]
+    assert by_id[90_001] == [("random", 250_000, 250_016)] and {row.base for row in out} == {1}
+    same = [sorted(map(tuple, row.found)) for row in out if row.doc_id == texts[0][0]]
+    assert len(same) == 2 and same[0] == same[1]
+
+
+def test_likelihood_ratio_is_the_plain_one(spark):
+    some = [("".join(rnd.choice(secrets.LETTERS[:62]) for _ in range(24)), 1) for _ in range(50)] + [(w, 0) for w in WORDS]
+    model = secrets.train(spark.createDataFrame(some, "s string, random int"))
+    df = spark.createDataFrame([(s, model) for s, _ in some[::7] if len(s) > 1], "s string, scores array<double>")
+    for row in df.selectExpr("s", secrets.likelihood_ratio("s") + " as ratio").collect():
+        assert row.ratio == pytest.approx(plain_ratio(model, row.s))
+
+
 def test_token_counts_at_every_prefix(spark, docs, none):
     lib, enc = Tokenizer.from_file(TOKENS), token_counts.encoder(TOKENS)
     for s in ["", " a  b\n\n c'll <|endoftext|>x", "don't 'l 'lle  漢字🙂é\x1c", text(30, 4), "aaaaaaaaaaaaaaaaaaaa   "]:
