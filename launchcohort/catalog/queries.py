@@ -67,7 +67,7 @@ def dump(spark, sf_dir) -> str:
     folder = shared_path(spark, "dump")
     raw = T.campaigns_raw(spark, sf_dir)
     for i in (1, 2, 3):
-        synthetic.write_csv_snapshot(raw.filter(F.col("snapshot") == i), f"{folder}/snapshot_{i:03d}")
+        synthetic.write_csv_snapshot(raw.filter(F.col("snapshot") == i), f"{folder}/snapshot_{i:03d}", ("chunk", "row_no"))
     return folder
 
 

@@ -44,5 +44,5 @@ def prepared(spark, cohort_df):
 
     words = written(spark.createDataFrame([("sunlit", 2.0), ("frosty", -1.5)],
                                           "term string, valence double"), "lexicon")
-    builder = FeatureBuilder(lexicon=words, lda_topics=5, lsa_dims=6)
+    builder = FeatureBuilder(lexicon=words, lda_topics=5, lda_passes=2, lsa_dims=6)
     return prepare(cohort_df, builder, ("meta", "nb", "sent", "lda", "lsa"))

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -116,6 +118,61 @@ def test_topic_shares_sum_to_one(docs):
     assert got.sum(axis=1) == pytest.approx(np.ones(240))
 
 
+def test_digamma():
+    x = np.array([1e-3, 0.05, 0.5, 1.0, 3.7, 10.0, 4000.0])
+    h = 1e-5
+    assert topics.digamma(x)[1:] == pytest.approx(((lgamma(x + h) - lgamma(x - h)) / (2 * h))[1:], rel=1e-6)
+    assert topics.digamma(x)[0] == pytest.approx(-1000.5755719318103)
+
+
+lgamma = np.vectorize(math.lgamma)
+
+
+def test_mini_batches_hold_every_text_once(docs, fitted):
+    terms, size = topics.numbered(fitted.terms.select("term", "df"))
+    rows = terms.orderBy("place").collect()
+    assert [r.place for r in rows] == list(range(size)) and [r.term for r in rows] == sorted(r.term for r in rows)
+    bags = topics.bags(docs, terms, fitted.text)
+    stored, sizes = topics.dealt(bags, 5)
+    assert sum(sizes) == bags.count() and min(sizes) > 0
+    assert sorted(map(tuple, stored.drop("batch").collect())) == sorted(map(tuple, bags.collect()))
+    # A step reads the files of its batch only.
+    one = stored.where("batch = 3")
+    assert "PartitionFilters: [isnotnull(batch" in one._jdf.queryExecution().executedPlan().toString()
+    assert one.count() == sizes[3] and one.select(F.input_file_name().alias("file")).distinct().count() == 1
+
+
+def test_step_is_the_plain_update(docs, fitted):
+    """The evidence of a batch against a loop over dense rows."""
+    terms, size = topics.numbered(fitted.terms.select("term", "df"))
+    bags = topics.bags(docs, terms, fitted.text)
+    start = np.random.default_rng(0).gamma(100.0, 0.01, (3, size))
+    beta, want = topics.mean_log(start), np.zeros((3, size))
+    for r in bags.collect():
+        x = np.zeros(size)
+        x[r.places] = r.counts
+        gamma, _ = topics.infer(x, beta, 1 / 3)
+        theta = topics.mean_log(gamma)
+        want += np.outer(theta, x / (theta @ beta + 1e-100)) * beta
+    assert topics.evidence(bags, start) == pytest.approx(want, rel=1e-9, abs=1e-9)
+    assert want.sum() == pytest.approx(sum(sum(r.counts) for r in bags.collect()))
+
+
+def test_topics_find_two_vocabularies(spark):
+    rng = np.random.default_rng(3)
+    words = [[f"{a}{b}" for b in "bcdfghjk"] for a in ("sun", "ice")]
+    texts = [(i, " ".join(rng.choice(words[i % 2], 30))) for i in range(200)] + [(900, None), (901, "")]
+    df = spark.createDataFrame(texts, "id bigint, text string")
+    model = topics.fit_lda(df, topics=2, passes=4, steps=4, min_df=2, max_df=1.0)
+    got = {r.id: np.array(r.lda) for r in model.mix(df).collect()}
+    assert len({int(got[i].argmax()) for i in range(0, 200, 2)}) == len({int(got[i].argmax()) for i in range(1, 200, 2)}) == 1
+    assert got[0].argmax() != got[1].argmax() and all(g.max() > 0.9 for i, g in got.items() if i < 900)
+    assert got[900].tolist() == got[901].tolist() == [0.5, 0.5]
+    again = topics.fit_lda(df, topics=2, passes=4, steps=4, min_df=2, max_df=1.0)
+    assert again.topics == pytest.approx(model.topics, rel=1e-9)
+    assert topics.fit_lda(df.limit(0), topics=2).mix(df.limit(3)).count() == 3
+
+
 def squash(v):
     return v / np.sqrt(v * v + 15)
 
