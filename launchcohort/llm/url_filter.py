@@ -6,7 +6,8 @@ only thing broadcast. A url is judged in its own task; nothing is shuffled.
 
 Defined results: host is what stands after the first '://' up to '/', '?', '#' or the end, A-Z
 lower-cased; path goes on up to '?', '#' or the end; a null url, or one without '://', has both
-empty and goes to the model, which sees no n-grams and so answers by its intercept.
+empty and goes to the model, which sees no n-grams and so answers by its intercept; repeated rows have
+equal results, columns of any name come back in `row`, and an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -40,8 +41,8 @@ online-casino.example/slots poker-win.example/en/44 pills-shop.example/cheap/via
 track-click.example/ads/banner free-bets-now.example/odds betting-tips.example/win/cash cheap-pills-online.example/en/12
 adtracker.example/pixel lucky-slots.example/casino/vip loan-fast.example/cash/free hot-singles.example/xxx
 replica-watches.example/cheap win-prizes.example/claim/free casino.example/de/1 tracking-ads.example/redirect
-pharmacy-cheap.example/pills/discount bet-bonus.example/free/spins www.casino-win.example/en/310 free-cash.example/win
-blog.cheap-pills.example/en/66 m.ads-track.example/en/98 www.free-bets.example/fr/54 adult-cams.example/live
+pharmacy-cheap.example/pills/discount bet-bonus.example/free/spins www.roulette-gold.example/en/310 free-cash.example/win
+blog.budget-tablets.example/en/66 m.banner-pixel.example/en/98 www.wager-bonus.example/fr/54 adult-cams.example/live
 spam-offers.example/deal/cheap crypto-win.example/double/free slots-free.example/en/7 track.example/ads
 spam-links.example/en/5 link-farm-spam.example/fr/2 adult-x-video.example/en/6 adult-chat.example/xxx m.bets-casino.example/es/3 www.pills-free.example/en/8 blog.track-ads.example/en/91 casino-bets.example/es/40""".split()
 

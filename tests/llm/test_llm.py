@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -284,6 +285,37 @@ def test_urls(spark):
     assert (got[2].host, got[2].path, got[1].host, got[0].path) == ("a.example.org", "/es/x", "", "") and [got[i].verdict for i in (2, 3, 4, 6, 7, 9, 10)] == ["block", "block", "allow", "allow", "block", "block", "allow"]
 
 
+def test_urls_of_a_whole_table_by_plain_code(spark):
+    """Host, path and rule by regular expressions, the score from a plain dictionary of weights."""
+    pages = queries.table(spark, "/root/testdata/sf0.001", "pages").select("page_id", "url")
+    odd = [(70_001, None, "c"), (70_002, "", "c"), (70_003, "http://A.org/es/" + "x1" * 50_000, "c"), (70_004, "a://b://c/d?e://f", "c"), (70_004, "a://b://c/d?e://f", "c")]
+    rows = pages.selectExpr("page_id", "url", "'c' as score").unionByName(spark.createDataFrame(odd, "page_id long, url string, score string"))
+    labelled = url_filter.labelled_urls(spark)
+    w, b = url_filter.train(labelled)
+    weight = {k: x for k, x in enumerate(w) if x}
+    got = sorted(url_filter.url_filter(rows, labelled).select("row.*", F.struct("host", "path", "rule", "score", "verdict").alias("got")).collect(), key=str)
+    assert len(got) == pages.count() + 5 and {r.score for r in got} == {"c"}
+    for r in got:
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", r.url or "")
+        host, path = ("".join(c.lower() if c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" else c for c in m[1]), m[2]) if m else ("", "")
+        fits = [(len(k), k, v) for k, v in url_filter.RULES if re.search(r"(^|\.)" + re.escape(k.split("/", 1)[0]) + "$", host) and path.startswith("/" + k.split("/", 1)[1])]
+        grams = {"h" + f"^{host}$"[i:i + n] for n in (2, 3, 4) for i in range(len(host) + 3 - n)} if host else set()
+        short = re.sub(r"\d+", "0", path)
+        grams |= {"p" + short[i:i + n] for n in (2, 3, 4) for i in range(len(short) + 1 - n)}
+        seen = {zlib.crc32(g.encode()) % url_filter.BUCKETS for g in grams}
+        z = sum(weight.get(k, 0.0) for k in seen) / max(1, len(seen)) ** 0.5 + b
+        assert (r.got.host, r.got.path, r.got.rule) == (host, path, max(fits)[1] if fits else None)
+        assert r.got.score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
+        assert r.got.verdict == (max(fits)[2] if fits else "block" if r.got.score >= 0.5 else "allow")
+    assert url_filter.url_filter(rows.limit(0), labelled).count() == 0
+
+
+def test_labelled_hosts_are_not_the_tables(spark):
+    names = {u.split("/")[0].removesuffix(".example") for u in url_filter.UNWANTED}
+    hosts = {r[0] for r in queries.table(spark, "/root/testdata/sf0.1", "pages").selectExpr("regexp_extract(url, '://([^/?#]*)', 1)").distinct().collect()}
+    assert not [h for h in hosts if any(re.fullmatch(r"([a-z]+\.)?" + re.escape(n.split(".")[-1]) + r"\.example\.\w+", h) for n in names)]
+
+
 def test_leaks(spark, docs, none):
     item = [rnd.choice(WORDS) for _ in range(30)]
     edited = [w if k % 6 else "changed" for k, w in enumerate(item)]
