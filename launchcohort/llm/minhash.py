@@ -8,9 +8,12 @@ to buckets. With 48 bands of 5 rows a pair at similarity 0.8 misses all buckets
 Documents of equal sets form one class, and classes are what is compared. In a bucket every class
 meets the smallest and the largest one; all pairs of up to three classes are covered by that. Where
 larger buckets hold classes that are not yet connected, further rounds go on with another pivot per
-bucket, and when the pairs left are no more than `PAIRS_PER_ROW` per row, all of them are compared. So
-groups of thousands of near copies cost some comparisons per document and no pair that could connect
-is left out. A pair goes on only if its set sizes allow the similarity, counting as common at most the
+bucket, and when the pairs left are no more than `PAIRS_PER_ROW` per row, the classes of such buckets
+meet by their rarest shingles: of two sets this alike, the rarest fifth of the larger one and the rarest
+ninth of the smaller one, in one order of all shingles, have a shingle in common. So groups of
+thousands of near copies cost some comparisons per document, copies that are alike but not linked meet
+only where they also share what is rare among them, and no pair that could connect is left out. A pair
+goes on only if its set sizes allow the similarity, counting as common at most the
 shingles of either that any other candidate has (so copies that each have many words of their own are
 not compared with each other), and the lowest bits of its signatures differ in at most `DIFFERENT` of 240 coordinates; at similarity 0.8 those bits differ in 24
 on average, and in more than 56 with a probability below 1e-9. Signatures only find candidates; the
@@ -199,6 +202,40 @@ def _compare(similarity: int):
     return run
 
 
+def _shingles(batches):
+    """(node, shingles) with the packed shingles as a list."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            sets = [np.frombuffer(s, np.int64) for s in part.column("shingles").to_pylist()]
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([part.column("node"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))], names=["node", "shingles"])
+
+
+def rare_meetings(sets: DataFrame, similarity: int) -> DataFrame:
+    """(a, b): nodes whose sets (node, shingles) may be similar, for they share a shingle among their rarest.
+
+    All shingles stand in one order, by the sets that hold them and then by value. With
+    100 * common >= similarity * union, of two sets the larger one has at least similarity / 100 of its
+    own shingles in common, the smaller one 2 * similarity / (100 + similarity); so the first common
+    shingle lies before what may be missing of each, and behind it there is room for the others.
+    A pair may come more than once; shingles of one set alone take their place but are not sent.
+    """
+    each = sets.mapInArrow(_shingles, "node binary, shingles array<long>").select("node", F.explode("shingles").alias("shingle"))
+    held = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    lists = (each.join(held, "shingle", "left").groupBy("node")
+             .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle"))).alias("order")).withColumn("size", F.size("order")))
+    least = {"probe": f"(size * {similarity} + 99) div 100", "index": f"(size * {2 * similarity} + {99 + similarity}) div {100 + similarity}"}
+    reach = lists.select("node", "size", F.posexplode(F.slice("order", F.lit(1), F.expr(f"int(size - {least['probe']} + 1)"))).alias("at", "s"),
+                         F.expr(f"size - {least['index']}").alias("last")).where("s.n > 1")
+    rare = written(reach.select("node", "size", "at", "last", "s.shingle"), "rare")
+    x, y = rare.alias("x"), rare.where("at <= last").alias("y")
+    room = "least(x.size - x.at, y.size - y.at)"
+    fits = f"(100 + {similarity}) * ({room}) >= {similarity} * (x.size + y.size)"
+    larger = "(x.size > y.size or x.size = y.size and x.node > y.node)"
+    return x.join(y, F.expr(f"x.shingle = y.shingle and {larger} and {fits}")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
 def only(docs: DataFrame, keys: DataFrame, how: str = "left_semi", doc_id: str = "doc_id", text: str = "text", limit: int = BROADCAST_DOCS) -> DataFrame:
     """The documents whose (id, mark) is among `keys` (or, with left_anti, is not). Up to `limit` keys are
     broadcast, after they have been counted; more are joined by a shuffle."""
@@ -260,8 +297,10 @@ def near_duplicates(docs: DataFrame, words_per: int = 5, similarity: int = SIMIL
             break
         last = pairs_ <= PAIRS_PER_ROW * rows_ or k == pivot_rounds
         if last:
-            others = open_.select("bucket", F.col("x").alias("y"), F.col("part").alias("other"))
-            pairs = open_.join(others, (open_["bucket"] == others["bucket"]) & F.expr("part < other") & alike("x", "y"))
+            there = written(open_.groupBy("x.node").agg(F.first("x").alias("x"), F.first("part").alias("part")), "there")
+            pairs = (rare_meetings(sets.join(there.select("node"), "node", "left_semi"), similarity).distinct()
+                     .join(there.select(F.col("node").alias("a"), "x", "part"), "a")
+                     .join(there.select(F.col("node").alias("b"), F.col("x").alias("y"), F.col("part").alias("other")), "b").where(F.expr("part != other") & alike("x", "y")))
         else:
             pivots = open_.groupBy("bucket").agg(F.min_by(F.struct(F.col("x").alias("y"), F.col("part").alias("other")), F.xxhash64("x.node", F.lit(k))).alias("p")).select("bucket", "p.*")
             pairs = open_.join(pivots, "bucket").where(F.expr("part != other") & alike("x", "y"))

@@ -271,6 +271,23 @@ def test_large_families_of_edited_copies(spark):
     assert {x.id: x.component_id for x in minhash.near_duplicates(d, 2).collect()} == dict(enumerate(part))
 
 
+def test_rare_meetings_lose_no_pair(spark):
+    r = random.Random(9)
+    core = list(range(1, 41))
+    sets = []
+    for k in range(120):  # families with own, shared and missing elements, of like and unlike sizes
+        s = set(r.sample(core, r.randint(30, 40))) | {r.randint(100, 130) for _ in range(r.randint(0, 8))} | {1000 + 20 * k + j for j in range(r.randint(0, 4))}
+        sets.append(s)
+    sets += [{5}, {5, 6}, {7}, {100, 101, 102}, {100, 101, 102, 103}]
+    pack = lambda s: np.sort(np.array(list(s), np.uint64)).tobytes()
+    d = spark.createDataFrame([(k.to_bytes(2, "big"), pack(s)) for k, s in enumerate(sets)], "node binary, shingles binary")
+    for similarity in (60, 80, 95):
+        got = {frozenset((int.from_bytes(x.a, "big"), int.from_bytes(x.b, "big"))) for x in minhash.rare_meetings(d, similarity).collect()}
+        want = {frozenset((a, b)) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])}
+        assert want and want <= got and len(got) < len(sets) * (len(sets) - 1) / 2
+    assert minhash.rare_meetings(d.limit(0), 80).count() == 0
+
+
 def test_components(spark):
     e = [(k, k + 1) for k in range(20)] + [(50, k) for k in range(51, 90)] + [(95, 95), (None, 3)]
     got = dict(map(tuple, components.components(spark.createDataFrame(e, "a long, b long")).collect()))
