@@ -279,6 +279,7 @@ def test_rare_meetings_lose_no_pair(spark):
         s = set(r.sample(core, r.randint(30, 40))) | {r.randint(100, 130) for _ in range(r.randint(0, 8))} | {1000 + 20 * k + j for j in range(r.randint(0, 4))}
         sets.append(s)
     sets += [{5}, {5, 6}, {7}, {100, 101, 102}, {100, 101, 102, 103}]
+    sets += [set(core) - {k} for k in range(1, 6)] + [set(core) | {900}]  # alike in 39 of 40 and more
     pack = lambda s: np.sort(np.array(list(s), np.uint64)).tobytes()
     d = spark.createDataFrame([(k.to_bytes(2, "big"), pack(s)) for k, s in enumerate(sets)], "node binary, shingles binary")
     for similarity in (60, 80, 95):
