@@ -212,9 +212,11 @@ def _shingles(batches):
             yield pa.RecordBatch.from_arrays([part.column("node"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))], names=["node", "shingles"])
 
 
-def rare_meetings(sets: DataFrame, similarity: int) -> DataFrame:
+def rare_meetings(sets: DataFrame, similarity: int, about: DataFrame | None = None, also: str = "true") -> DataFrame:
     """(a, b): nodes whose sets (node, shingles) may be similar, for they share a shingle among their rarest.
 
+    `about` has further columns of each node; `also` is a condition on those of both, x and y, that the join applies.
+
     All shingles stand in one order, by the sets that hold them and then by value. With
     100 * common >= similarity * union, of two sets the larger one has at least similarity / 100 of its
     own shingles in common, the smaller one 2 * similarity / (100 + similarity); so the first common
@@ -228,12 +230,13 @@ def rare_meetings(sets: DataFrame, similarity: int) -> DataFrame:
     least = {"probe": f"(size * {similarity} + 99) div 100", "index": f"(size * {2 * similarity} + {99 + similarity}) div {100 + similarity}"}
     reach = lists.select("node", "size", F.posexplode(F.slice("order", F.lit(1), F.expr(f"int(size - {least['probe']} + 1)"))).alias("at", "s"),
                          F.expr(f"size - {least['index']}").alias("last")).where("s.n > 1")
-    rare = written(reach.select("node", "size", "at", "last", "s.shingle"), "rare")
+    rare = reach.select("node", "size", "at", "last", "s.shingle")
+    rare = written(rare if about is None else rare.join(about, "node"), "rare")
     x, y = rare.alias("x"), rare.where("at <= last").alias("y")
     room = "least(x.size - x.at, y.size - y.at)"
     fits = f"(100 + {similarity}) * ({room}) >= {similarity} * (x.size + y.size)"
     larger = "(x.size > y.size or x.size = y.size and x.node > y.node)"
-    return x.join(y, F.expr(f"x.shingle = y.shingle and {larger} and {fits}")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    return x.join(y, F.expr(f"x.shingle = y.shingle and {larger} and {fits} and {also}")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 def only(docs: DataFrame, keys: DataFrame, how: str = "left_semi", doc_id: str = "doc_id", text: str = "text", limit: int = BROADCAST_DOCS) -> DataFrame:
@@ -256,39 +259,43 @@ def near_duplicates(docs: DataFrame, words_per: int = 5, similarity: int = SIMIL
                      .mapInArrow(_sign(words_per, bands, rows), "id long, mark long, n_shingles long, node binary, buckets array<long>, sketch array<long>"), "signed")
     classes = written(signed.where("node is not null").groupBy("node").agg(F.min("id").alias("least"), F.min_by("mark", F.struct("id", "mark")).alias("mark"), F.min_by("id", F.struct("id", "mark")).alias("id"),
                                                                            F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("size")), "classes")
-    each = classes.select("node", F.explode("buckets").alias("bucket"))
+    each = classes.select("node", "size", F.explode("buckets").alias("bucket"))
     shared = each.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
     met = written(each.join(shared, "bucket"), "met")
     words = -(-bands * rows // 64)
     limit = DIFFERENT * bands * rows // (BANDS * ROWS)
 
-    def alike(a: str, b: str):
-        """Whether two columns (node, size, common, sketch) may be similar."""
+    def alike(a: str, b: str) -> str:
+        """Whether two columns (size, common, sketch) may be similar."""
         differ = " + ".join(f"bit_count({a}.sketch[{k}] ^ {b}.sketch[{k}])" for k in range(words))
         common = f"least({a}.common, {b}.common)"
-        return F.expr(f"{a}.node != {b}.node and 100 * {common} >= {similarity} * ({a}.size + {b}.size - {common}) and {differ} <= {limit}")
+        return f"100 * {common} >= {similarity} * ({a}.size + {b}.size - {common}) and {differ} <= {limit}"
 
-    which = F.struct("node", "size", "common", "sketch")
     nodes = met.select("node").distinct()
     texts = only(docs.select(doc_id, text), classes.join(nodes, "node", "left_semi"), doc_id=doc_id, text=text).select(text)
     sets = written(texts.mapInArrow(_sets(words_per), "node binary, shingles binary").dropDuplicates(["node"]), "sets")
 
     single = (sets.mapInArrow(_spread_shingles(groups), "group int, nodes array<binary>, blob binary").groupBy("group").applyInArrow(_single, "node binary, n long")
               .groupBy("node").agg(F.sum("n").alias("n")))
-    facts = nodes.join(classes, "node").join(single, "node", "left").select("node", "size", (F.col("size") - F.coalesce("n", F.lit(0))).alias("common"), "sketch")
-    met = written(met.join(facts, "node"), "met")
+    facts = written(nodes.join(classes, "node").join(single, "node", "left").select("node", F.struct("size", (F.col("size") - F.coalesce("n", F.lit(0))).alias("common"), "sketch").alias("facts")), "facts")
 
     def links(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = pairs.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        """Pairs (a, b) are made distinct, then their facts are looked at, then their sets."""
+        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        for x, side in (("x", "a"), ("y", "b")):
+            pairs = pairs.join(facts.select(F.col("node").alias(side), F.col("facts").alias(x)), side)
+        pairs = pairs.where(alike("x", "y")).select("a", "b")
         side = {x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab"}
         return written(pairs.join(side["a"], "a").join(side["b"], "b").mapInArrow(_compare(similarity), "a binary, b binary"), name)
 
-    ends = met.groupBy("bucket").agg(F.min(which).alias("lo"), F.max(which).alias("hi"))
-    first = met.select("bucket", which.alias("x")).join(ends, "bucket").select("x", F.explode(F.array("lo", "hi")).alias("y")).where(alike("x", "y"))
+    of_size = F.struct("node", "size")
+    ends = met.groupBy("bucket").agg(F.min(of_size).alias("lo"), F.max(of_size).alias("hi"))
+    first = met.select("bucket", of_size.alias("x")).join(ends, "bucket").select("x", F.explode(F.array("lo", "hi")).alias("y"))
+    first = first.where(f"x.node != y.node and 100 * least(x.size, y.size) >= {similarity} * greatest(x.size, y.size)")
     found = links(first.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "near")
     tied = written(components(found), "tied")
     for k in range(pivot_rounds + 1):
-        wide = met.where("m > 3").select("bucket", "node", "size", "common", "sketch").join(tied, "node", "left").select("bucket", which.alias("x"), F.coalesce("component", "node").alias("part"))
+        wide = met.where("m > 3").select("bucket", "node").join(tied, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("part"))
         split = wide.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo != hi").select("bucket")
         open_ = written(wide.join(split, "bucket"), "open")
         n = open_.groupBy("bucket", "part").agg(F.count("*").cast("double").alias("n")).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"))
@@ -297,14 +304,12 @@ def near_duplicates(docs: DataFrame, words_per: int = 5, similarity: int = SIMIL
             break
         last = pairs_ <= PAIRS_PER_ROW * rows_ or k == pivot_rounds
         if last:
-            there = written(open_.groupBy("x.node").agg(F.first("x").alias("x"), F.first("part").alias("part")), "there")
-            pairs = (rare_meetings(sets.join(there.select("node"), "node", "left_semi"), similarity).distinct()
-                     .join(there.select(F.col("node").alias("a"), "x", "part"), "a")
-                     .join(there.select(F.col("node").alias("b"), F.col("x").alias("y"), F.col("part").alias("other")), "b").where(F.expr("part != other") & alike("x", "y")))
+            about = open_.select("node", "part").distinct().join(facts, "node")
+            pairs = rare_meetings(sets.join(about, "node", "left_semi"), similarity, about, f"x.part != y.part and {alike('x.facts', 'y.facts')}")
         else:
-            pivots = open_.groupBy("bucket").agg(F.min_by(F.struct(F.col("x").alias("y"), F.col("part").alias("other")), F.xxhash64("x.node", F.lit(k))).alias("p")).select("bucket", "p.*")
-            pairs = open_.join(pivots, "bucket").where(F.expr("part != other") & alike("x", "y"))
-        more = links(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "near")
+            pivots = open_.groupBy("bucket").agg(F.min_by(F.struct(F.col("node").alias("b"), F.col("part").alias("other")), F.xxhash64("node", F.lit(k))).alias("p")).select("bucket", "p.*")
+            pairs = open_.join(pivots, "bucket").where("part != other").select(F.col("node").alias("a"), "b")
+        more = links(pairs, "near")
         if not more.isEmpty():
             tied = written(components(more.unionByName(tied.select(F.col("node").alias("a"), F.col("component").alias("b")))), "tied")
         if last:
