@@ -39,12 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from launchcohort.llm.common import byte_texts, mix, shuffle_partitions, slices, word_hashes
-from launchcohort.llm.components import components
+from launchcohort.llm.components import stars
 from launchcohort.session import written
 
 BANDS, ROWS = 48, 5
 SIMILARITY = 80
 BROADCAST_DOCS = 1 << 20
+BROADCAST_NODES = 1 << 16
+BROADCAST_PAIRS = 1 << 16
 PIVOT_ROUNDS = 3
 PAIRS_PER_ROW = 64
 DIFFERENT = 56
@@ -271,31 +273,45 @@ def near_duplicates(docs: DataFrame, words_per: int = 5, similarity: int = SIMIL
         common = f"least({a}.common, {b}.common)"
         return f"100 * {common} >= {similarity} * ({a}.size + {b}.size - {common}) and {differ} <= {limit}"
 
-    nodes = met.select("node").distinct()
-    texts = only(docs.select(doc_id, text), classes.join(nodes, "node", "left_semi"), doc_id=doc_id, text=text).select(text)
+    nodes = written(classes.drop("buckets", "least").join(met.select("node").distinct(), "node", "left_semi"), "nodes")
+    texts = only(docs.select(doc_id, text), nodes, doc_id=doc_id, text=text).select(text)
     sets = written(texts.mapInArrow(_sets(words_per), "node binary, shingles binary").dropDuplicates(["node"]), "sets")
 
     single = (sets.mapInArrow(_spread_shingles(groups), "group int, nodes array<binary>, blob binary").groupBy("group").applyInArrow(_single, "node binary, n long")
               .groupBy("node").agg(F.sum("n").alias("n")))
-    facts = written(nodes.join(classes, "node").join(single, "node", "left").select("node", F.struct("size", (F.col("size") - F.coalesce("n", F.lit(0))).alias("common"), "sketch").alias("facts")), "facts")
+    small = nodes.count() <= BROADCAST_NODES
+
+    def near(of_nodes: DataFrame) -> DataFrame:
+        """A table of at most one row a node, each of some 100 bytes, is broadcast where there are few nodes."""
+        return F.broadcast(of_nodes) if small else of_nodes
+
+    facts = written(nodes.join(near(single), "node", "left").select("node", F.struct("size", (F.col("size") - F.coalesce("n", F.lit(0))).alias("common"), "sketch").alias("facts")), "facts")
 
     def links(pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs (a, b) are made distinct, then their facts are looked at, then their sets."""
+        """Pairs (a, b) are made distinct, then their facts are looked at, then their sets. Where few pairs are left,
+        they are broadcast, so that no sets travel but theirs."""
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         for x, side in (("x", "a"), ("y", "b")):
-            pairs = pairs.join(facts.select(F.col("node").alias(side), F.col("facts").alias(x)), side)
-        pairs = pairs.where(alike("x", "y")).select("a", "b")
-        side = {x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab"}
-        return written(pairs.join(side["a"], "a").join(side["b"], "b").mapInArrow(_compare(similarity), "a binary, b binary"), name)
+            pairs = pairs.join(near(facts.select(F.col("node").alias(side), F.col("facts").alias(x))), side)
+        pairs = written(pairs.where(alike("x", "y")).select("a", "b"), "alike")
+        if pairs.count() <= BROADCAST_PAIRS:
+            ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node"))
+            met_sets = sets.join(F.broadcast(ends), "node").groupBy("a", "b").agg(
+                *[F.first(F.when(F.col("node") == F.col(x), F.col("shingles")), ignorenulls=True).alias(f"s{x}") for x in "ab"])
+        else:
+            side = {x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab"}
+            met_sets = pairs.join(side["a"], "a").join(side["b"], "b")
+        return written(met_sets.mapInArrow(_compare(similarity), "a binary, b binary"), name)
 
     of_size = F.struct("node", "size")
     ends = met.groupBy("bucket").agg(F.min(of_size).alias("lo"), F.max(of_size).alias("hi"))
     first = met.select("bucket", of_size.alias("x")).join(ends, "bucket").select("x", F.explode(F.array("lo", "hi")).alias("y"))
     first = first.where(f"x.node != y.node and 100 * least(x.size, y.size) >= {similarity} * greatest(x.size, y.size)")
     found = links(first.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "near")
-    tied = written(components(found), "tied")
-    for k in range(pivot_rounds + 1):
-        wide = met.where("m > 3").select("bucket", "node").join(tied, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("part"))
+    tied = stars(found).toDF("node", "component")  # a component's smallest node has no row
+    open_ = met.where("m > 3")
+    for k in range(pivot_rounds + 1):  # classes only grow together, so a bucket that is not open stays so
+        wide = written(open_.select("bucket", "node").join(near(tied), "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("part")), "wide")
         split = wide.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo != hi").select("bucket")
         open_ = written(wide.join(split, "bucket"), "open")
         n = open_.groupBy("bucket", "part").agg(F.count("*").cast("double").alias("n")).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"))
@@ -304,14 +320,14 @@ def near_duplicates(docs: DataFrame, words_per: int = 5, similarity: int = SIMIL
             break
         last = pairs_ <= PAIRS_PER_ROW * rows_ or k == pivot_rounds
         if last:
-            about = open_.select("node", "part").distinct().join(facts, "node")
+            about = open_.select("node", "part").distinct().join(near(facts), "node")
             pairs = rare_meetings(sets.join(about, "node", "left_semi"), similarity, about, f"x.part != y.part and {alike('x.facts', 'y.facts')}")
         else:
             pivots = open_.groupBy("bucket").agg(F.min_by(F.struct(F.col("node").alias("b"), F.col("part").alias("other")), F.xxhash64("node", F.lit(k))).alias("p")).select("bucket", "p.*")
             pairs = open_.join(pivots, "bucket").where("part != other").select(F.col("node").alias("a"), "b")
         more = links(pairs, "near")
         if not more.isEmpty():
-            tied = written(components(more.unionByName(tied.select(F.col("node").alias("a"), F.col("component").alias("b")))), "tied")
+            tied = stars(more.unionByName(tied.toDF("a", "b"))).toDF("node", "component")
         if last:
             break
     least = classes.select("node", "least").join(tied, "node", "left").select("node", "least", F.coalesce("component", "node").alias("part"))
