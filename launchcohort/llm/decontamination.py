@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from launchcohort.llm.common import byte_texts, slices, word_hashes
+from launchcohort.llm.common import byte_texts, in_small_batches, slices, thin, word_hashes
 from launchcohort.session import written
 
 MIN_WORDS = 8
@@ -36,7 +36,7 @@ THRESHOLD = 0.5
 SEEDS = 4
 # What is held at once: words of items, hits of seeds, cells of a step of alignments, passages of known scores.
 ITEM_WORDS = 1 << 20
-HITS = 1 << 22
+HITS = 1 << 19
 CELLS = 1 << 17
 KNOWN = 1 << 16
 
@@ -171,7 +171,7 @@ def _counts(items):
     """(word, n) of the items' vocabulary, once a task."""
     def run(batches):
         n = np.zeros(len(items.value.vocabulary), np.int64)
-        for batch in batches:
+        for batch in thin(batches):
             texts = byte_texts(batch.column(0))
             for i, j in slices(texts):
                 w = items.value.numbers(word_hashes([t.translate(WORD_BYTES) for t in texts[i:j]])[0])
@@ -185,7 +185,7 @@ def _counts(items):
 def _aligned(items):
     def run(batches):
         x, known = items.value, {}
-        for batch in batches:
+        for batch in thin(batches):
             ids, marks = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
             texts = byte_texts(batch.column(2))
             null = np.array(batch.column(0).is_null())
@@ -208,6 +208,7 @@ def _aligned(items):
     return run
 
 
+@in_small_batches
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
                  min_words: int = MIN_WORDS, threshold: float = THRESHOLD, item_words: int = ITEM_WORDS) -> DataFrame:
     """(id, mark, item, score, end): document and item, the alignment's share of the item's own score, and the
@@ -229,4 +230,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
         group.seed(frequency)
         found.append(rows.mapInArrow(_aligned(spark.sparkContext.broadcast(group)), f"id long, mark long, item {kind}, score double, end long"))
     none = spark.createDataFrame([], f"id long, mark long, item {kind}, score double, end long")
-    return reduce(DataFrame.unionByName, found).distinct() if found else none  # rows that repeat a document
+    return written(reduce(DataFrame.unionByName, found).distinct(), "found") if found else none  # rows that repeat a document

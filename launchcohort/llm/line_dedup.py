@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from launchcohort.llm.common import SPACE, BitFilter, byte_texts, shuffle_partitions
+from launchcohort.llm.common import SPACE, BitFilter, byte_texts, shuffle_partitions, thin
 from launchcohort.session import written
 
 FILTER_BITS = 1 << 26
@@ -40,7 +40,7 @@ def _hashes(keys: set[bytes]) -> np.ndarray:
 def _fill(bits: int):
     def run(batches):
         once, twice = BitFilter(bits), BitFilter(bits)
-        for batch in batches:
+        for batch in thin(batches):
             seen = [_hashes(set(line_keys(t)) - {b""}) for t in byte_texts(batch.column(0))]
             h, n = np.unique(np.concatenate(seen) if seen else np.zeros(0, np.uint64), return_counts=True)
             twice.add(h[(n > 1) | once.holds(h)])
@@ -87,7 +87,7 @@ def twice_seen(docs: DataFrame, text: str = "text", bits: int = FILTER_BITS) ->
 
 def _suspects(shared):
     def run(batches):
-        for batch in batches:
+        for batch in thin(batches):
             ids, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             keys, doc, mark = [], [], []
             for i, m, t in zip(ids, marks, byte_texts(batch.column(2))):
@@ -105,7 +105,7 @@ def _suspects(shared):
 def _drop(shared, gone, keep_first: bool):
     """Without the lines whose keys are in `gone` (a broadcast dict) or in the row's own list."""
     def run(batches):
-        for batch in batches:
+        for batch in thin(batches):
             ids = batch.column("_doc").to_pylist()
             lists = batch.column("_gone").to_pylist() if gone is None else [None] * len(ids)
             n_lines, n_dropped, kept = [], [], []

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from launchcohort.llm.common import byte_texts, mix, shuffle_partitions, slices, word_hashes
+from launchcohort.llm.common import byte_texts, in_small_batches, mix, shuffle_partitions, slices, thin, word_hashes
 from launchcohort.llm.components import stars
 from launchcohort.session import written
 
@@ -111,7 +111,7 @@ def class_of(s: np.ndarray) -> bytes:
 
 def _sign(words_per: int, bands: int, rows: int):
     def run(batches):
-        for batch in batches:
+        for batch in thin(batches):
             texts = byte_texts(batch.column(2))
             for i, j in slices(texts, 2 << 20):
                 sets = shingle_sets(texts[i:j], words_per)
@@ -134,7 +134,7 @@ def _sign(words_per: int, bands: int, rows: int):
 
 def _sets(words_per: int):
     def run(batches):
-        for batch in batches:
+        for batch in thin(batches):
             texts = byte_texts(batch.column(0))
             for i, j in slices(texts):
                 sets = shingle_sets(texts[i:j], words_per)
@@ -189,7 +189,7 @@ def _single(part: pa.Table) -> pa.Table:
 
 def _compare(similarity: int):
     def run(batches):
-        for batch in batches:
+        for batch in thin(batches):
             keep = []
             for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist()):
                 n, m = len(x) // 8, len(y) // 8
@@ -249,6 +249,7 @@ def only(docs: DataFrame, keys: DataFrame, how: str = "left_semi", doc_id: str =
     return docs.join(small, docs[doc_id].eqNullSafe(F.col("_key_id")) & F.xxhash64(docs[doc_id], docs[text]).eqNullSafe(F.col("_key_mark")), how)
 
 
+@in_small_batches
 def near_duplicates(docs: DataFrame, words_per: int = 5, similarity: int = SIMILARITY, doc_id: str = "doc_id", text: str = "text",
                     bands: int = BANDS, rows: int = ROWS, pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:
     """(id, mark, n_shingles, component_id), one row per document; `mark` tells texts under one id apart.

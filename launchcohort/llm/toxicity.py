@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from launchcohort.llm.common import byte_texts, slices
+from launchcohort.llm.common import byte_texts, slices, thin
 from launchcohort.session import written
 
 LETTERS = 28  # a-z, all else that can be part of a word, and none
@@ -61,9 +61,9 @@ TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 or
 
 def _trigrams(batches):
     total = np.zeros(LETTERS ** 3, np.int64)
-    for batch in batches:
+    for batch in thin(batches):
         texts = byte_texts(batch.column(0))
-        for i, j in slices(texts):
+        for i, j in slices(texts, 1 << 20):  # some 30 bytes of arrays a byte
             c = TO_CLASS[np.frombuffer(b"  ".join([b"", *texts[i:j], b""]), np.uint8)].astype(np.int32)
             total += np.bincount((c[:-2] * LETTERS + c[1:-1]) * LETTERS + c[2:], minlength=LETTERS ** 3)
     at = np.flatnonzero(total)
@@ -241,7 +241,7 @@ def _score(model):
     def run(batches):
         cost, base, features, weights = model.value
         reader, telling = Restorer(cost), Telling(features)
-        for batch in batches:
+        for batch in thin(batches):
             out = []
             for t in byte_texts(batch.column(1)):
                 z = base + float(weights[telling.of(reader.words(t))].sum()) if features else base
